@@ -15,31 +15,35 @@ MIN_ROWS = 1_000_000
 MAX_KEYS = 10_000
 
 
+def rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Reads the key columns only and combines before the shuffle."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
 def heavy_keys(
     df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS, max_keys: int = MAX_KEYS
 ) -> DataFrame:
     """Keys holding more than ``min_rows`` rows and more than 1/``max_keys`` of all rows.
 
     The second condition bounds the result by arithmetic: fewer than ``max_keys`` keys can each
-    hold more than 1/``max_keys`` of the rows. That is what makes it safe to broadcast. Counting
-    reads the key columns only and combines on the map side.
+    hold more than 1/``max_keys`` of the rows. That is what makes it safe to broadcast.
     """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = rows_per_key(df, keys)
     total = counted.agg(F.sum("_rows")).scalar()
-    return counted.where(
-        (F.col("_rows") > F.lit(min_rows)) & (F.col("_rows") * F.lit(max_keys) > total)
-    ).select(*keys)
+    large = F.col("_rows") > F.lit(min_rows)
+    return counted.where(large & (F.col("_rows") * F.lit(max_keys) > total)).select(*keys)
 
 
 def heavy_or_none(
     df: DataFrame, keys: Sequence[str], min_rows: int = MIN_ROWS, max_keys: int = MAX_KEYS
 ) -> DataFrame | None:
-    """The heavy keys, or None when there are none, so that even data keeps the one-shuffle plan.
+    """The heavy keys, or None when no key is large, so that even data keeps its simpler plan.
 
-    Runs the counting job now; one boolean comes back to the driver.
+    Runs one counting job now; a boolean comes back to the driver.
     """
-    heavy = heavy_keys(df, keys, min_rows, max_keys)
-    return None if heavy.isEmpty() else heavy
+    if rows_per_key(df, keys).where(F.col("_rows") > F.lit(min_rows)).isEmpty():
+        return None
+    return heavy_keys(df, keys, min_rows, max_keys)
 
 
 def only_heavy(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ARRIVAL = ("_ingest_timestamp", "_source_file")
@@ -15,15 +15,19 @@ def first_arrivals(
 ) -> DataFrame:
     """Keep the earliest copy of every identity; equal arrivals are settled by a row hash.
 
-    Written as ``min(struct)`` rather than a ranking window: it aggregates before the shuffle, so
-    an identity holding a third of all rows sends one row per task instead of filling one task.
-    NULL identities count as equal to each other.
+    Spark applies the limit of one per group before the shuffle as well as after it (the
+    WindowGroupLimit steps of the plan), so an identity holding a third of all rows sends one row
+    per task instead of filling one task. Columns stay flat and unused ones are pruned. NULL
+    identities count as equal to each other.
     """
     order = [name for name in arrival if name in df.columns]
-    rest = [name for name in df.columns if name not in (*identity, *order)]
-    tie = F.xxhash64(*df.columns).alias("_tie")
-    earliest = F.min(F.struct(*order, tie, *rest)).alias("_first")
-    return df.groupBy(*identity).agg(earliest).select(*identity, "_first.*").select(*df.columns)
+    by_arrival = Window.partitionBy(*identity).orderBy(*order, "_tie")
+    return (
+        df.withColumn("_tie", F.xxhash64(*df.columns))
+        .withColumn("_copy", F.row_number().over(by_arrival))
+        .where(F.col("_copy") == 1)
+        .select(*df.columns)
+    )
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

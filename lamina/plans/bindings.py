@@ -225,9 +225,10 @@ def land_feed(spark: SparkSession, sf_dir: str, feed: Feed, folder: str, waves:
     raw = raw_feed(spark, sf_dir, feed, {"wave": f"CAST({wave} AS INT)"})
     drifted = F.coalesce(F.col("_rescued_data") == DRIFT_JSON, F.lit(False))
     landed = feed.landed_schema.names
-    for number in waves:
-        rows = raw.where(F.col("wave") == number)
-        rows.where(~drifted).select(landed).write.parquet(f"{folder}/wave-{number}/plain")
-        rows.where(drifted).select(*landed, F.lit(DRIFT_VALUE).alias(DRIFT_COLUMN)).write.parquet(
-            f"{folder}/wave-{number}/drift"
-        )
+    due = raw.where(F.col("wave").isin(list(waves)))
+    shapes = {
+        "plain": due.where(~drifted).select(*landed, "wave"),
+        "drift": due.where(drifted).select(*landed, F.lit(DRIFT_VALUE).alias(DRIFT_COLUMN), "wave"),
+    }
+    for shape, rows in shapes.items():
+        rows.write.mode("append").partitionBy("wave").parquet(f"{folder}/{shape}")

@@ -243,7 +243,7 @@ def landing_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         land_feed(spark, sf_dir, feed, landing, waves)
         start_ingest(spark, feed, landing, lake).awaitTermination()
     raw = lake.raw(spark, feed)
-    traced = F.col("_source_file").contains("/landing/wave-") & F.col("_ingest_timestamp").isNotNull()
+    traced = F.col("_source_file").contains("/landing/") & F.col("_ingest_timestamp").isNotNull()
     return raw.withColumn("has_lineage", traced).drop("_source_file", "_ingest_timestamp")
 
 
