@@ -93,7 +93,7 @@ ENGAGEMENT_RULES = RuleSet(
 )
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Feed:
     """Everything the generic jobs need to know about one feed."""
 
@@ -109,16 +109,16 @@ class Feed:
 
     @property
     def landed_schema(self) -> T.StructType:
-        return _struct(self.types)
+        return struct(self.types)
 
     @property
     def raw_schema(self) -> T.StructType:
-        return _struct({**self.types, **SYSTEM_TYPES})
+        return struct({**self.types, **SYSTEM_TYPES})
 
     @property
     def typed_schema(self) -> T.StructType:
         retyped = dict.fromkeys(self.timestamps, "timestamp") | dict.fromkeys(self.dates, "date")
-        return _struct({**self.types, **retyped, **SYSTEM_TYPES})
+        return struct({**self.types, **retyped, **SYSTEM_TYPES})
 
     @property
     def raw_table(self) -> str:
@@ -129,7 +129,7 @@ class Feed:
         return f"{self.name}_quarantine"
 
 
-def _struct(types: dict[str, str]) -> T.StructType:
+def struct(types: dict[str, str]) -> T.StructType:
     struct = T.StructType()
     for name, kind in types.items():
         struct.add(name, kind)

@@ -32,6 +32,11 @@ COUNTED_EVENT_TYPES = {
     "webinar_attended_count": ("ATTENDED",),
     "webinar_completed_count": ("WATCH_COMPLETED",),
 }
+FACT_TYPES = {
+    "activity_date": "date", "client_key": "string", "campaign_key": "string",
+    "channel": "string", "event_count": "long", **dict.fromkeys(COUNTED_EVENT_TYPES, "long"),
+    "engagement_seconds": "long", "synthetic_record": "boolean",
+}
 EVENT_COLUMNS = (
     "event_id", "event_timestamp", "client_id", "campaign_id", "channel", "event_type",
     "engagement_seconds",
@@ -117,13 +122,10 @@ def fact_engagement_daily(
         ),
         F.sum(F.coalesce("engagement_seconds", F.lit(0))).alias("engagement_seconds"),
     )
-    return daily.select(
-        "activity_date",
-        version_key(F.col("client_id"), F.col(START)).alias("client_key"),
-        campaign_key(F.col("campaign_id")).alias("campaign_key"),
-        "channel",
-        "event_count",
-        *COUNTED_EVENT_TYPES,
-        "engagement_seconds",
-        F.lit(True).alias("synthetic_record"),
-    )
+    return daily.withColumns(
+        {
+            "client_key": version_key(F.col("client_id"), F.col(START)),
+            "campaign_key": campaign_key(F.col("campaign_id")),
+            "synthetic_record": F.lit(True),
+        }
+    ).select(*FACT_TYPES)

