@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lamina.feeds import CAMPAIGNS, CLIENT_PROFILES, ENGAGEMENT_EVENTS, FEEDS, Feed
-from lamina.functions.skew import MIN_ROWS, heavy_or_none
-from lamina.operators.history import PROFILE_KEYS
-from lamina.operators.star import dim_campaign, dim_client, fact_engagement_daily
+from lamina.feeds import CLIENT_PROFILES, FEEDS, Feed
+from lamina.functions.skew import MIN_ROWS
+from lamina.plans.publish import publish
 from lamina.session import pin_session
 from lamina.sources.lake import PROFILE_BUCKETS, Lake
 from lamina.sources.landing import MAX_FILES_PER_BATCH
-from lamina.sources.tables import PUBLISHED, exists, read_or_empty, replace_table
+from lamina.sources.tables import exists, read_or_empty
 from lamina.streaming.clean import start_clean
 from lamina.streaming.history import start_history
 from lamina.streaming.ingest import start_ingest
@@ -75,22 +74,6 @@ def refresh(spark: SparkSession, settings: Settings, mode: str = INCREMENTAL) ->
     return lake
 
 
-def publish(spark: SparkSession, lake: Lake, heavy_min_rows: int = MIN_ROWS) -> None:
-    """Rebuild the star from the clean tables."""
-    history = lake.history(spark)
-    campaigns = lake.clean(spark, CAMPAIGNS)
-    events = lake.clean(spark, ENGAGEMENT_EVENTS)
-    per_client = events.select(*PROFILE_KEYS).unionAll(history.select(*PROFILE_KEYS))
-    heavy = heavy_or_none(per_client, PROFILE_KEYS, min_rows=heavy_min_rows)
-    replace_table(dim_client(history), lake.path(PUBLISHED, "dim_client"))
-    replace_table(dim_campaign(campaigns), lake.path(PUBLISHED, "dim_campaign"))
-    replace_table(
-        fact_engagement_daily(events, history, campaigns, heavy),
-        lake.path(PUBLISHED, "fact_engagement_daily"),
-        ["activity_date"],
-    )
-
-
 def _finish(queries: Iterable[StreamingQuery]) -> None:
     """Start all, then wait for all, so that independent feeds share the cluster."""
     for query in list(queries):

@@ -31,6 +31,10 @@ class Lake:
     def checkpoint(self, job: str) -> str:
         return f"{self.root}/_checkpoints/{job}"
 
+    def staging_path(self, name: str) -> str:
+        """Short-lived output of one step, overwritten by its next run."""
+        return f"{self.root}/_staging/{name}"
+
     def raw_path(self, feed: Feed) -> str:
         return self.path(RAW, feed.raw_table)
 

@@ -22,11 +22,18 @@ def profile_bucket(buckets: int):
 def not_seen(rows: DataFrame, seen: DataFrame, identity: tuple[str, ...]) -> DataFrame:
     """Rows whose identity is not in ``seen``; NULL equals NULL.
 
-    Both sides hold an identity once, so the join has no heavy key.
+    ``seen`` is first cut down to the identities of ``rows``. When those are few, Spark broadcasts
+    them and the long ``seen`` side is only scanned, not shuffled. Both sides hold an identity
+    once, so neither join has a heavy key.
     """
-    other = seen.select(*(F.col(name).alias(f"_seen_{name}") for name in identity))
-    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_seen_{c}")) for c in identity))
-    return rows.join(other, same, "left_anti")
+    repeated = _matching(seen.select(*identity), rows.select(*identity), identity, "left_semi")
+    return _matching(rows, repeated, identity, "left_anti")
+
+
+def _matching(left: DataFrame, right: DataFrame, identity: tuple[str, ...], how: str) -> DataFrame:
+    other = right.select(*(F.col(name).alias(f"_other_{name}") for name in identity))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_other_{c}")) for c in identity))
+    return left.join(other, same, how)
 
 
 def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
@@ -43,6 +50,9 @@ def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
         raw = batch.select(feed.raw_schema.names)
         rows = first_arrivals(candidates(raw, feed), feed.identity)
         if batch_id > 0:
+            # Written out so that the planner knows the size of the new rows.
+            rows.write.mode("overwrite").parquet(lake.staging_path(feed.name))
+            rows = session.read.schema(feed.typed_schema).parquet(lake.staging_path(feed.name))
             seen = lake.arrivals(session, feed).where(F.col("batch") < batch_id)
             rows = not_seen(rows, seen, feed.identity)
         rows = rows.withColumn("accepted", feed.rules.accepted())

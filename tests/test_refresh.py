@@ -78,6 +78,10 @@ def test_incremental_refreshes_equal_one_full_refresh_and_the_batch_tables(
         for feed, rows in feeds.items():
             land(spark, grown, feed, number, rows[number::3])
         lake = refresh(spark, grown, INCREMENTAL)
+        again = fact_engagement_daily(
+            lake.clean(spark, ENGAGEMENT_EVENTS), lake.history(spark), lake.clean(spark, CAMPAIGNS)
+        )
+        assert plain(lake.published(spark, "fact_engagement_daily").collect()) == plain(again.collect())
     step_by_step = compared(lake.tables(spark))
     # Arrival order decides which copy wins, so the batch tables read the stored raw rows.
     raw = {feed.name: lake.raw(spark, feed) for feed in FEEDS}
@@ -117,6 +121,26 @@ def test_a_late_delete_that_empties_a_bucket_removes_its_versions(spark, tmp_pat
     assert lake.published(spark, "fact_engagement_daily").count() == 0
 
 
+def test_a_late_delete_empties_the_days_it_covers(spark, tmp_path):
+    settings = Settings(f"{tmp_path}/landing", f"{tmp_path}/lake", buckets=2)
+    early, late = {**EVENT}, {**EVENT, "event_id": "EVT-00000002", "event_timestamp": iso(9 * 86400)}
+    land(spark, settings, CLIENT_PROFILES, 0, [PROFILE])
+    land(spark, settings, CAMPAIGNS, 0, [CAMPAIGN])
+    land(spark, settings, ENGAGEMENT_EVENTS, 0, [early, late])
+
+    def days():
+        fact = refresh(spark, settings).published(spark, "fact_engagement_daily")
+        return sorted(str(row.activity_date) for row in fact.collect())
+
+    assert days() == ["2024-01-02", "2024-01-10"]
+    gone = {**PROFILE, "operation": "DELETE", "operation_timestamp": iso(5 * 86400)}
+    land(spark, settings, CLIENT_PROFILES, 1, [gone])
+    assert days() == ["2024-01-02"]
+    land(spark, settings, CLIENT_PROFILES, 2, [{**gone, "operation": "INSERT",
+                                                "operation_timestamp": iso(6 * 86400)}])
+    assert days() == ["2024-01-02", "2024-01-10"]
+
+
 def test_tables_carry_comment_and_properties(spark):
     spark.conf.set("lamina.gold_schema", "named_gold")
     try:
