@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MIN_ROWS = 1_000_000
-MAX_KEYS = 10_000
+MAX_KEYS = 100_000
 
 
 def rows_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -25,13 +25,16 @@ def heavy_keys(
 ) -> DataFrame:
     """Keys holding more than ``min_rows`` rows and more than 1/``max_keys`` of all rows.
 
-    The second condition bounds the result by arithmetic: fewer than ``max_keys`` keys can each
-    hold more than 1/``max_keys`` of the rows. That is what makes it safe to broadcast.
+    ``pieces`` says into how many parts of that size a key would have to be cut. The second
+    condition bounds the result by arithmetic: fewer than ``max_keys`` keys can each hold more
+    than 1/``max_keys`` of the rows. That is what makes it safe to broadcast.
     """
     counted = rows_per_key(df, keys)
     total = counted.agg(F.sum("_rows")).scalar()
-    large = F.col("_rows") > F.lit(min_rows)
-    return counted.where(large & (F.col("_rows") * F.lit(max_keys) > total)).select(*keys)
+    bearable = F.greatest(F.lit(min_rows), F.ceil(total / F.lit(max_keys)))
+    return counted.where(F.col("_rows") > bearable).select(
+        *keys, F.ceil(F.col("_rows") / bearable).cast("int").alias("pieces")
+    )
 
 
 def heavy_or_none(
@@ -47,9 +50,9 @@ def heavy_or_none(
 
 
 def only_heavy(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(F.broadcast(heavy), list(keys), "left_semi")
+    return df.join(F.broadcast(heavy.select(*keys)), list(keys), "left_semi")
 
 
 def without_heavy(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The other rows, those with a NULL key included."""
-    return df.join(F.broadcast(heavy), list(keys), "left_anti")
+    return df.join(F.broadcast(heavy.select(*keys)), list(keys), "left_anti")

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions.keys import campaign_key, version_key
+from lamina.functions.skew import MIN_ROWS
 from lamina.functions.typing import activity_date
 from lamina.operators.history import END, PROFILE_KEYS, START
-from lamina.operators.timeline import SALTS, SLICE_SECONDS, attach_effective
+from lamina.operators.timeline import SLICE_SECONDS, attach_effective
 
 # Published column lists and what each measure counts.
 CLIENT_ATTRIBUTES = (
@@ -78,7 +79,7 @@ def effective_events(
     history: DataFrame,
     heavy: DataFrame | None = None,
     slice_seconds: int = SLICE_SECONDS,
-    salts: int = SALTS,
+    piece_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Events with START and END of the profile version in force when they happened."""
     return attach_effective(
@@ -90,7 +91,7 @@ def effective_events(
         end=END,
         heavy=heavy,
         slice_seconds=slice_seconds,
-        salts=salts,
+        piece_rows=piece_rows,
     )
 
 

@@ -12,10 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.functions.skew import only_heavy, without_heavy
+from lamina.functions.skew import MIN_ROWS, heavy_keys, only_heavy, without_heavy
 
 SLICE_SECONDS = 60
-SALTS = 8
 
 
 def time_slice(at: Column, seconds: int) -> Column:
@@ -76,7 +75,7 @@ def attach_effective(
     end: str,
     heavy: DataFrame | None = None,
     slice_seconds: int = SLICE_SECONDS,
-    salts: int = SALTS,
+    piece_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """Inner as-of join: each event with the version whose [start, end) holds its time.
 
@@ -95,7 +94,7 @@ def attach_effective(
     sliced_events, sliced_versions = _slice_sides(
         only_heavy(events, heavy, keys),
         only_heavy(versions, heavy, keys),
-        keys, at, start, end, slice_seconds, salts,
+        keys, at, start, end, slice_seconds, piece_rows,
     )
     cut = _carry_forward(
         sliced_events, sliced_versions, keys, ["_slice", "_salt"], at, start, end
@@ -127,31 +126,36 @@ def _carry_forward(events, versions, keys, parts, at, start, end) -> DataFrame:
     ).select(*events.columns, f"_version.{start}", f"_version.{end}")
 
 
-def _slice_sides(events, versions, keys, at, start, end, seconds, salts):
-    """Spread heavy events over time slices and salts; give every piece the versions it needs.
+def _slice_sides(events, versions, keys, at, start, end, seconds, piece_rows):
+    """Spread heavy events over time slices, and slices that are still too large over salts.
 
     A piece needs the versions starting inside its slice and the one in force when it begins. The
-    salt splits events that share one slice, or even one timestamp.
+    salt splits events of one slice, or even of one timestamp; the list of such slices is bounded
+    like the list of heavy keys.
     """
-    events = events.withColumns(
-        {
-            "_slice": time_slice(F.col(at), seconds),
-            "_salt": F.pmod(F.xxhash64(*events.columns), F.lit(salts)).cast("int"),
-        }
-    )
+    place = [*keys, "_slice"]
+    events = events.withColumn("_slice", time_slice(F.col(at), seconds))
     versions = versions.withColumn("_slice", time_slice(F.col(start), seconds))
-    newest = versions.groupBy(*keys, "_slice").agg(F.max(F.struct(start, end)).alias("_version"))
-    wanted = events.select(*keys, "_slice").distinct().withColumn("_wanted", F.lit(True))
+    newest = versions.groupBy(*place).agg(F.max(F.struct(start, end)).alias("_version"))
+    wanted = events.select(*place).distinct().withColumn("_wanted", F.lit(True))
     before = (
         Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
         wanted.unionByName(newest, allowMissingColumns=True)
-        .groupBy(*keys, "_slice")
+        .groupBy(*place)
         .agg(F.max("_wanted").alias("_wanted"), F.max("_version").alias("_version"))
         .withColumn("_version", F.last("_version", ignorenulls=True).over(before))
         .where(F.col("_wanted") & F.col("_version").isNotNull())
-        .select(*keys, "_slice", "_version.*")
+        .select(*place, "_version.*")
+    )
+    crowded = F.broadcast(heavy_keys(events, place, min_rows=piece_rows))
+    pieces = F.coalesce("pieces", F.lit(1))
+    salt = F.pmod(F.xxhash64(*events.columns), pieces).cast("int").alias("_salt")
+    every_salt = F.explode(F.sequence(F.lit(0), pieces - 1)).alias("_salt")
+    return (
+        events.join(crowded, place, "left").select(*events.columns, salt),
+        versions.unionByName(carried)
+        .join(crowded, place, "left")
+        .select(*versions.columns, every_salt),
     )
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
-    return events, versions.unionByName(carried).select("*", every_salt)

@@ -12,11 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lamina.feeds import CLIENT_PROFILES, FEEDS, Feed
 from lamina.functions.skew import MIN_ROWS
+from lamina.plans.naming import name_tables
 from lamina.plans.publish import publish
 from lamina.session import pin_session
 from lamina.sources.lake import PROFILE_BUCKETS, Lake
 from lamina.sources.landing import MAX_FILES_PER_BATCH
-from lamina.sources.tables import exists, read_or_empty
+from lamina.sources.tables import Namespace, exists, read_or_empty
 from lamina.streaming.clean import start_clean
 from lamina.streaming.history import start_history
 from lamina.streaming.ingest import start_ingest
@@ -29,12 +30,15 @@ GENERATIONS = (
 
 @dataclass(frozen=True)
 class Settings:
+    """Where files land and tables live; ``namespace`` also gives the tables catalog names."""
+
     landing: str
     root: str
     folders: dict[str, str] = field(default_factory=dict)
     buckets: int = PROFILE_BUCKETS
     max_files: int = MAX_FILES_PER_BATCH
     heavy_min_rows: int = MIN_ROWS
+    namespace: Namespace | None = None
 
     def folder(self, feed: Feed) -> str:
         return f"{self.landing}/{self.folders.get(feed.name, feed.name)}"
@@ -71,6 +75,8 @@ def refresh(spark: SparkSession, settings: Settings, mode: str = INCREMENTAL) ->
     publish(spark, lake, settings.heavy_min_rows)
     if fresh:
         _record_generation(spark, settings, lake)
+    if settings.namespace:
+        name_tables(spark, lake, settings.namespace)
     return lake
 
 

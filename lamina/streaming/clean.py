@@ -66,7 +66,7 @@ def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
             .partitionBy(*parts)
             .parquet(f"{lake.arrivals_path(feed)}/batch={batch_id}")
         )
-        quarantine(raw, feed).write.mode("overwrite").parquet(
+        quarantine(raw, feed).hint("rebalance").write.mode("overwrite").parquet(
             f"{lake.quarantine_path(feed)}/batch={batch_id}"
         )
 

@@ -141,20 +141,50 @@ def test_a_late_delete_empties_the_days_it_covers(spark, tmp_path):
     assert days() == ["2024-01-02", "2024-01-10"]
 
 
-def test_tables_carry_comment_and_properties(spark):
+@pytest.fixture
+def names(spark):
     spark.conf.set("lamina.gold_schema", "named_gold")
-    try:
-        names = Namespace.from_conf(spark)
-    finally:
-        spark.conf.unset("lamina.gold_schema")
+    found = Namespace.from_conf(spark)
+    spark.conf.unset("lamina.gold_schema")
+    schemas = (found.bronze_schema, found.silver_schema, found.gold_schema)
+    for schema in schemas:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+    yield found
+    for schema in schemas:
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
+
+
+def described(spark, table):
+    return {row[0]: row[1] for row in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+
+
+def test_tables_carry_comment_and_properties(spark, names):
     assert names.table("gold", "dim_campaign") == "spark_catalog.named_gold.dim_campaign"
-    spark.sql("CREATE DATABASE IF NOT EXISTS named_gold")
     raw = raw_frame(spark, CAMPAIGNS, [{}])
     for _ in range(2):
         save_as_table(BatchTables({CAMPAIGNS.name: raw}).dim_campaign, names, "dim_campaign")
     assert read_table(spark, names, "dim_campaign").count() == 1
-    described = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED named_gold.dim_campaign").collect()}
-    assert described["Comment"] == "Campaign attributes."
+    found = described(spark, "named_gold.dim_campaign")
+    assert found["Comment"] == "Campaign attributes."
     for part in ("quality=gold", "contains_direct_identifiers=false", "demo.synthetic=true"):
-        assert part in described["Table Properties"]
-    spark.sql("DROP DATABASE named_gold CASCADE")
+        assert part in found["Table Properties"]
+
+
+def test_catalog_names_follow_the_current_generation(spark, names, tmp_path):
+    settings = Settings(f"{tmp_path}/landing", f"{tmp_path}/lake", buckets=2, namespace=names)
+    land(spark, settings, CLIENT_PROFILES, 0, [PROFILE, {**PROFILE, "operation": "UPSERT"}])
+    land(spark, settings, CAMPAIGNS, 0, [CAMPAIGN])
+    land(spark, settings, ENGAGEMENT_EVENTS, 0, [EVENT, EVENT])
+    for mode in (FULL, FULL):
+        lake = refresh(spark, settings, mode)
+    for name, table in lake.tables(spark).items():
+        if table.isEmpty():
+            continue
+        stored = read_table(spark, names, name)
+        assert plain(stored.collect()) == plain(table.collect()), name
+        assert stored.columns == table.columns and stored.inputFiles()[0].startswith(
+            f"file://{lake.root}/"
+        )
+    found = described(spark, names.table("silver", "client_profiles_quarantine"))
+    assert "quality.status=quarantine" in found["Table Properties"]
+    assert read_table(spark, names, "fact_engagement_daily").first().event_count == 1

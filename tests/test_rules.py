@@ -106,3 +106,10 @@ def test_bad_first_copy_suppresses_a_later_good_one_unless_rules_go_first(spark)
     assert clean(raw, ENGAGEMENT_EVENTS).count() == 0
     assert clean(raw, ENGAGEMENT_EVENTS, rules_first=True).first().engagement_seconds == 4
     assert quarantine(raw, ENGAGEMENT_EVENTS).count() == 1
+
+
+def test_the_typed_projection_serves_streams_too(spark, tmp_path):
+    raw_frame(spark, CAMPAIGNS, [{}]).write.parquet(f"{tmp_path}/raw")
+    stream = spark.readStream.schema(CAMPAIGNS.raw_schema).parquet(f"{tmp_path}/raw")
+    assert candidates(stream, CAMPAIGNS).isStreaming
+    assert candidates(stream, CAMPAIGNS).schema == CAMPAIGNS.typed_schema

@@ -30,7 +30,8 @@ def test_identical_copies_leave_one_row(spark):
 def test_heavy_keys_need_a_share_and_a_count(spark):
     df = spark.createDataFrame([("a",)] * 60 + [("b",)] * 30 + [(str(i),) for i in range(10)], "k string")
     assert [r.k for r in heavy_keys(df, ["k"], min_rows=5, max_keys=2).collect()] == ["a"]
-    assert {r.k for r in heavy_keys(df, ["k"], min_rows=5, max_keys=100).collect()} == {"a", "b"}
+    both = heavy_keys(df, ["k"], min_rows=25, max_keys=100).collect()
+    assert {r.k: r.pieces for r in both} == {"a": 3, "b": 2}
     assert heavy_or_none(df, ["k"], min_rows=100) is None
 
 
@@ -129,7 +130,7 @@ def test_history_and_asof_match_brute_force_for_any_heavy_list(spark, seed, slic
         assert plain(got.collect()) == truth
         placed = attach_effective(
             event_frame, history, keys=["client"], at="happened", start=START, end=END,
-            heavy=heavy, slice_seconds=slice_seconds, salts=3,
+            heavy=heavy, slice_seconds=slice_seconds, piece_rows=5,
         ).join(history.select("client", START, "stage"), ["client", START])
         assert sorted((r["id"], r["stage"]) for r in placed.collect()) == hits
 
