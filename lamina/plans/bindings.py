@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.feeds import CAMPAIGNS, CLIENT_PROFILES, ENGAGEMENT_EVENTS, Feed
+from lamina.session import shared_folder
+from lamina.sources.tables import exists
 
 DRIFT_COLUMN = "unexpected_source_field"
 DRIFT_VALUE = "drift"
@@ -192,12 +194,28 @@ def raw_feed(spark: SparkSession, sf_dir: str, feed: Feed, extra: Mapping[str, s
     rows = table(spark, sf_dir, source).where(condition).select(
         "*", F.explode(deliveries).alias("delivery")
     )
-    wanted = {name: text.format(**SPARK_WORDS) for name, text in columns.items()}
-    wanted |= extra
-    fitted = rows.select(*(F.expr(text).alias(name) for name, text in wanted.items()))
-    return fitted.select(
-        *(F.col(f.name).cast(f.dataType) for f in feed.raw_schema), *extra
-    )
+    fitted = [
+        F.expr(columns[field.name].format(**SPARK_WORDS)).cast(field.dataType).alias(field.name)
+        for field in feed.raw_schema
+    ]
+    return rows.select(*fitted, *(F.expr(text).alias(name) for name, text in extra.items()))
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored_raw(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
+    """The raw feed as a stored table, written once per application, as ingest would leave it.
+
+    Later steps then prune columns and push filters into the scan, instead of working the
+    definitions above into every rule.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, feed.name)
+    if key not in _STORED or not exists(spark, _STORED[key]):
+        folder = f"{shared_folder(spark, 'raw')}/{feed.name}"
+        raw_feed(spark, sf_dir, feed).write.parquet(folder)
+        _STORED[key] = folder
+    return spark.read.schema(feed.raw_schema).parquet(_STORED[key])
 
 
 def raw_feed_sql(feed: Feed) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,14 +33,26 @@ PUBLICATIONS = reduce(
 def publish(spark: SparkSession, lake: Lake, heavy_min_rows: int = MIN_ROWS) -> None:
     """Bring dimensions and fact up to date; a failed run is repaired by the next one."""
     upto = _last_batches(spark, lake)
-    history = lake.history(spark)
-    replace_table(dim_client(history), lake.path(PUBLISHED, "dim_client"))
-    replace_table(dim_campaign(lake.clean(spark, CAMPAIGNS)), lake.path(PUBLISHED, "dim_campaign"))
     before = _last_publication(spark, lake)
-    if before is None:
-        replace_table(_fact(spark, lake, None, heavy_min_rows), lake.path(PUBLISHED, FACT), [DAY])
-    else:
-        _refresh_days(spark, lake, changed_days(spark, lake, before), heavy_min_rows)
+
+    def client_dimension() -> None:
+        replace_table(dim_client(lake.history(spark)), lake.path(PUBLISHED, "dim_client"))
+
+    def campaign_dimension() -> None:
+        campaigns = lake.clean(spark, CAMPAIGNS)
+        replace_table(dim_campaign(campaigns), lake.path(PUBLISHED, "dim_campaign"))
+
+    def fact() -> None:
+        if before is None:
+            rows = _fact(spark, lake, None, heavy_min_rows)
+            replace_table(rows, lake.path(PUBLISHED, FACT), [DAY])
+        else:
+            _refresh_days(spark, lake, changed_days(spark, lake, before), heavy_min_rows)
+
+    # The three tables are independent; small jobs of one fill the gaps of another.
+    with ThreadPoolExecutor() as pool:
+        for done in [pool.submit(step) for step in (fact, client_dimension, campaign_dimension)]:
+            done.result()
     row = upto.select(F.current_timestamp().alias("at"), *(feed.name for feed in FEEDS))
     row.write.mode("append").parquet(_publications_path(lake))
 

@@ -26,8 +26,8 @@ from lamina.operators.history import END, START, overlapping_versions, type2_his
 from lamina.operators.quality import candidates
 from lamina.operators.star import effective_events, known_campaign_events
 from lamina.plans.batch import BatchTables
-from lamina.plans.bindings import WAVES, land_feed, raw_feed, table
-from lamina.plans.refresh import FULL, INCREMENTAL, Settings, refresh
+from lamina.plans.bindings import WAVES, land_feed, stored_raw, table
+from lamina.plans.refresh import FULL, INCREMENTAL, Settings, new_lake, refresh, take_in
 from lamina.session import pin_session, shared_folder
 from lamina.sources.drift import read_with_rescue
 from lamina.sources.lake import Lake
@@ -39,7 +39,7 @@ BUCKETS = 16
 
 
 def batch(spark: SparkSession, sf_dir: str) -> BatchTables:
-    return BatchTables({feed.name: raw_feed(spark, sf_dir, feed) for feed in FEEDS})
+    return BatchTables({feed.name: stored_raw(spark, sf_dir, feed) for feed in FEEDS})
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def _typed(feed: Feed) -> Query:
-    return lambda spark, sf_dir: candidates(raw_feed(spark, sf_dir, feed), feed)
+    return lambda spark, sf_dir: candidates(stored_raw(spark, sf_dir, feed), feed)
 
 
 def _clean(feed: Feed) -> Query:
@@ -77,7 +77,7 @@ def _quarantine(feed: Feed, payload_fields: tuple[str, ...]) -> Query:
 
 def rule_failure_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_feed = [
-        feed.rules.failure_counts(candidates(raw_feed(spark, sf_dir, feed), feed)) for feed in FEEDS
+        feed.rules.failure_counts(candidates(stored_raw(spark, sf_dir, feed), feed)) for feed in FEEDS
     ]
     return reduce(DataFrame.unionByName, per_feed)
 
@@ -117,7 +117,7 @@ def unknown_campaign_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def engagement_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_feed(spark, sf_dir, ENGAGEMENT_EVENTS)
+    raw = stored_raw(spark, sf_dir, ENGAGEMENT_EVENTS)
     return column_audit(
         raw,
         distinct=["event_id"],
@@ -189,23 +189,29 @@ def table_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest(batch(spark, sf_dir).raw)
 
 
-def refreshed(spark: SparkSession, sf_dir: str, feeds=FEEDS) -> Lake:
-    """Half of the waves by a full refresh, the others by an incremental one."""
+def _home(spark: SparkSession) -> Settings:
     home = shared_folder(spark, "refresh")
-    settings = Settings(landing=f"{home}/landing", root=f"{home}/lake", buckets=BUCKETS)
-    for waves, mode in ((FIRST_WAVES, FULL), (LATER_WAVES, INCREMENTAL)):
-        for feed in feeds:
-            land_feed(spark, sf_dir, feed, settings.folder(feed), waves)
-        lake = refresh(spark, settings, mode)
-    return lake
+    return Settings(landing=f"{home}/landing", root=f"{home}/lake", buckets=BUCKETS)
 
 
 def history_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refreshed(spark, sf_dir, feeds=(CLIENT_PROFILES,)).history(spark)
+    """Profile history grown from two deliveries, the second with late and repeated changes."""
+    settings = _home(spark)
+    lake = new_lake(spark, settings)
+    for waves in (FIRST_WAVES, LATER_WAVES):
+        land_feed(spark, sf_dir, CLIENT_PROFILES, settings.folder(CLIENT_PROFILES), waves)
+        take_in(spark, lake, settings)
+    return lake.history(spark)
 
 
 def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return refreshed(spark, sf_dir).published(spark, "fact_engagement_daily")
+    """Half of the deliveries by a full refresh, the others by an incremental one."""
+    settings = _home(spark)
+    for waves, mode in ((FIRST_WAVES, FULL), (LATER_WAVES, INCREMENTAL)):
+        for feed in FEEDS:
+            land_feed(spark, sf_dir, feed, settings.folder(feed), waves)
+        lake = refresh(spark, settings, mode)
+    return lake.published(spark, "fact_engagement_daily")
 
 
 def same_output_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,7 +62,18 @@ def refresh(spark: SparkSession, settings: Settings, mode: str = INCREMENTAL) ->
     lake = current_lake(spark, settings.root) if mode == INCREMENTAL else None
     fresh = lake is None
     if fresh:
-        lake = _next_generation(spark, settings)
+        lake = new_lake(spark, settings)
+    take_in(spark, lake, settings)
+    publish(spark, lake, settings.heavy_min_rows)
+    if fresh:
+        _record_generation(spark, settings, lake)
+    if settings.namespace:
+        name_tables(spark, lake, settings.namespace)
+    return lake
+
+
+def take_in(spark: SparkSession, lake: Lake, settings: Settings) -> None:
+    """New landed files to raw, clean and quarantined rows, and to history."""
     landed = [feed for feed in FEEDS if exists(spark, settings.folder(feed))]
     _finish(
         start_ingest(spark, feed, settings.folder(feed), lake, settings.max_files)
@@ -72,12 +83,6 @@ def refresh(spark: SparkSession, settings: Settings, mode: str = INCREMENTAL) ->
     _finish(start_clean(spark, feed, lake) for feed in stored)
     if exists(spark, lake.arrivals_path(CLIENT_PROFILES)):
         _finish([start_history(spark, lake, settings.heavy_min_rows)])
-    publish(spark, lake, settings.heavy_min_rows)
-    if fresh:
-        _record_generation(spark, settings, lake)
-    if settings.namespace:
-        name_tables(spark, lake, settings.namespace)
-    return lake
 
 
 def _finish(queries: Iterable[StreamingQuery]) -> None:
@@ -86,7 +91,8 @@ def _finish(queries: Iterable[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
-def _next_generation(spark: SparkSession, settings: Settings) -> Lake:
+def new_lake(spark: SparkSession, settings: Settings) -> Lake:
+    """An empty generation after all earlier ones, finished or not."""
     number = 0
     while exists(spark, f"{settings.root}/generation={number}"):
         number += 1
