@@ -278,6 +278,10 @@ def _finals() -> dict[str, str]:
     payload_time = "strftime(operation_timestamp, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'"
     quarantine_tail = f"_source_file, {_time('_ingest_timestamp')}"
     history = f"SELECT {HISTORY_ROW} FROM history"
+    asof = (
+        f"SELECT event_id, client_id, {_time('event_timestamp')},"
+        f" {_time('start_at', '__START_AT')}, {_time('end_at', '__END_AT')} FROM placed"
+    )
     return {
         "profile_candidates_typed": f"SELECT {PROFILE_ROW} FROM profiles_typed",
         "campaign_candidates_typed": f"SELECT {CAMPAIGN_ROW} FROM campaigns_typed",
@@ -308,6 +312,7 @@ def _finals() -> dict[str, str]:
         "dedup_lineitem_keys": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
         "client_profile_history": history,
         "client_profile_history_incremental": history,
+        "client_profile_history_sliced": history,
         "history_with_ties": (
             f"SELECT o_custkey, o_orderkey, o_orderpriority, {_time('o_orderdate', '__START_AT')},"
             f" {_time('end_at', '__END_AT')} FROM ({ORDER_SPANS}) AS spans"
@@ -324,15 +329,14 @@ def _finals() -> dict[str, str]:
             f"SELECT sha256(campaign_id) AS campaign_key, {CAMPAIGN_BODY},"
             " true AS synthetic_record FROM campaigns_clean"
         ),
-        "asof_events": (
-            f"SELECT event_id, client_id, {_time('event_timestamp')},"
-            f" {_time('start_at', '__START_AT')}, {_time('end_at', '__END_AT')} FROM placed"
-        ),
+        "asof_events": asof,
+        "asof_events_sliced": asof,
         "known_campaign_events": (
             "SELECT event_id, campaign_id FROM events_clean"
             " WHERE campaign_id IN (SELECT campaign_id FROM campaigns_clean)"
         ),
         "fact_engagement_daily": "SELECT * FROM fact",
+        "fact_engagement_daily_sliced": "SELECT * FROM fact",
         "fact_engagement_daily_incremental": "SELECT * FROM fact",
         "unknown_campaign_events": (
             "SELECT event_id, campaign_id FROM events_raw AS e WHERE campaign_id IS NOT NULL AND"

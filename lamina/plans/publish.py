@@ -17,6 +17,7 @@ from lamina.operators.star import FACT_TYPES, dim_campaign, dim_client, fact_eng
 from lamina.sources.lake import FACT, Lake
 from lamina.sources.tables import (
     PUBLISHED,
+    last_batch,
     read_or_empty,
     remove,
     replace_partitions,
@@ -32,7 +33,7 @@ PUBLICATIONS = reduce(
 
 def publish(spark: SparkSession, lake: Lake, heavy_min_rows: int = MIN_ROWS) -> None:
     """Bring dimensions and fact up to date; a failed run is repaired by the next one."""
-    upto = _last_batches(spark, lake)
+    upto = {feed.name: last_batch(spark, lake.arrivals_path(feed)) for feed in FEEDS}
     before = _last_publication(spark, lake)
 
     def client_dimension() -> None:
@@ -53,7 +54,10 @@ def publish(spark: SparkSession, lake: Lake, heavy_min_rows: int = MIN_ROWS) ->
     with ThreadPoolExecutor() as pool:
         for done in [pool.submit(step) for step in (fact, client_dimension, campaign_dimension)]:
             done.result()
-    row = upto.select(F.current_timestamp().alias("at"), *(feed.name for feed in FEEDS))
+    row = spark.range(1).select(
+        F.current_timestamp().alias("at"),
+        *(F.lit(number).cast("long").alias(name) for name, number in upto.items()),
+    )
     row.write.mode("append").parquet(_publications_path(lake))
 
 
@@ -120,15 +124,6 @@ def _publications_path(lake: Lake) -> str:
     return f"{lake.root}/_publications"
 
 
-def _last_batches(spark: SparkSession, lake: Lake) -> DataFrame:
-    """One row with the last stored batch per feed, -1 where there is none."""
-    names = {
-        feed.name: lake.arrivals(spark, feed).agg(F.max("batch")).scalar() for feed in FEEDS
-    }
-    filled = (F.coalesce(last, F.lit(-1)).cast("long").alias(name) for name, last in names.items())
-    return spark.range(1).select(*filled)
-
-
 def _last_publication(spark: SparkSession, lake: Lake) -> dict[str, int] | None:
     done = read_or_empty(spark, _publications_path(lake), PUBLICATIONS)
     last = done.orderBy(F.desc("at")).first()

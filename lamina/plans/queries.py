@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.feeds import CAMPAIGNS, CLIENT_PROFILES, ENGAGEMENT_EVENTS, FEEDS, Feed
-from lamina.functions.skew import heavy_or_none
+from lamina.functions.skew import MIN_ROWS, heavy_or_none
 from lamina.operators.contract import (
     check_counts,
     column_audit,
@@ -38,8 +38,13 @@ FIRST_WAVES, LATER_WAVES = range(0, WAVES // 2), range(WAVES // 2, WAVES)
 BUCKETS = 16
 
 
-def batch(spark: SparkSession, sf_dir: str) -> BatchTables:
-    return BatchTables({feed.name: stored_raw(spark, sf_dir, feed) for feed in FEEDS})
+# Far below what is heavy in earnest, so that the way for heavy keys is taken on any scale.
+SOON_HEAVY, SOON_CROWDED = 40, 2
+
+
+def batch(spark: SparkSession, sf_dir: str, heavy_min_rows: int = MIN_ROWS) -> BatchTables:
+    raw = {feed.name: stored_raw(spark, sf_dir, feed) for feed in FEEDS}
+    return BatchTables(raw, heavy_min_rows)
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -102,6 +107,14 @@ def asof_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return effective_events(events, tables.history, tables.heavy_clients)
 
 
+def asof_events_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = batch(spark, sf_dir, SOON_HEAVY)
+    events = tables.clean(ENGAGEMENT_EVENTS).select("event_id", "client_id", "event_timestamp")
+    return effective_events(
+        events, tables.history, tables.heavy_clients, slice_seconds=86_400, piece_rows=SOON_CROWDED
+    )
+
+
 def known_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = batch(spark, sf_dir)
     events = tables.clean(ENGAGEMENT_EVENTS).select("event_id", "campaign_id")
@@ -274,6 +287,9 @@ def _registered() -> dict[str, Query]:
         ),
         "client_profile_history": lambda spark, sf_dir: batch(spark, sf_dir).history,
         "client_profile_history_incremental": history_incremental,
+        "client_profile_history_sliced": lambda spark, sf_dir: batch(
+            spark, sf_dir, SOON_HEAVY
+        ).history,
         "history_with_ties": history_with_ties,
         "overlapping_versions": lambda spark, sf_dir: overlapping_versions(
             batch(spark, sf_dir).history
@@ -281,8 +297,12 @@ def _registered() -> dict[str, Query]:
         "dim_client": lambda spark, sf_dir: batch(spark, sf_dir).dim_client,
         "dim_campaign": lambda spark, sf_dir: batch(spark, sf_dir).dim_campaign,
         "asof_events": asof_events,
+        "asof_events_sliced": asof_events_sliced,
         "known_campaign_events": known_events,
         "fact_engagement_daily": lambda spark, sf_dir: batch(spark, sf_dir).fact_engagement_daily,
+        "fact_engagement_daily_sliced": lambda spark, sf_dir: batch(
+            spark, sf_dir, SOON_HEAVY
+        ).fact_engagement_daily,
         "fact_engagement_daily_incremental": fact_incremental,
         "unknown_campaign_events": unknown_campaign_events,
         "column_audit": engagement_audit,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
 MERGE_CONFLICT = "[CANNOT_MERGE_SCHEMAS]"
+PARTS_AT_ONCE = 16
 
 
 def conform(df: DataFrame, declared: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
@@ -49,22 +51,33 @@ def frames_by_schema(spark: SparkSession, paths: Sequence[str]) -> list[DataFram
     """Read the files as few frames as their schemas allow, normally one.
 
     Files that cannot be read under one merged schema are halved until each part can; parts with
-    the same schema are then read together again. Footers are read by Spark tasks.
+    the same schema are then read together again. Spark tasks read the footers, and the parts of
+    one round are tried side by side, so even a batch of all different files takes few rounds.
     """
     by_schema: dict[str, tuple[T.StructType, list[str]]] = {}
-    for schema, part in _mergeable_parts(spark, list(paths)):
-        by_schema.setdefault(schema.json(), (schema, []))[1].extend(part)
+    parts = [list(paths)]
+    with ThreadPoolExecutor(PARTS_AT_ONCE) as pool:
+        while parts:
+            schemas = list(pool.map(lambda part: _merged_schema(spark, part), parts))
+            halves = []
+            for schema, part in zip(schemas, parts):
+                if schema is None:
+                    middle = len(part) // 2
+                    halves += [part[:middle], part[middle:]]
+                else:
+                    by_schema.setdefault(schema.json(), (schema, []))[1].extend(part)
+            parts = halves
     return [spark.read.schema(schema).parquet(*part) for schema, part in by_schema.values()]
 
 
-def _mergeable_parts(spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+def _merged_schema(spark: SparkSession, paths: list[str]) -> T.StructType | None:
+    """The common schema, or None if the files contradict each other."""
     try:
-        return [(spark.read.option("mergeSchema", True).parquet(*paths).schema, paths)]
+        return spark.read.option("mergeSchema", True).parquet(*paths).schema
     except (PySparkException, Py4JJavaError) as problem:
         if len(paths) == 1 or MERGE_CONFLICT not in str(problem):
             raise
-    middle = len(paths) // 2
-    return _mergeable_parts(spark, paths[:middle]) + _mergeable_parts(spark, paths[middle:])
+        return None
 
 
 def read_with_rescue(

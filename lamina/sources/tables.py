@@ -88,6 +88,20 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def last_batch(spark: SparkSession, path: str) -> int:
+    """Highest ``batch=`` folder of a table written batch by batch, -1 without any.
+
+    Lists one level of folders; asking Spark for the maximum would open every file.
+    """
+    if not exists(spark, path):
+        return -1
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [entry.getPath().getName() for entry in entries]
+    numbers = [int(name.removeprefix("batch=")) for name in names if name.startswith("batch=")]
+    return max(numbers, default=-1)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table, or no rows when nothing has been written there yet."""
     if exists(spark, path):
@@ -98,11 +112,16 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Rebuild a derived table from its current inputs.
 
-    The rebalance hint lets adaptive execution size the files: small partition values share a
-    task, a value with too many rows is split over several.
+    For partitioned tables the rebalance hint lets adaptive execution size the files: small
+    partition values share a task, a value with too many rows is split over several. Others are
+    written as they come, without a shuffle of their own.
     """
-    writer = df.hint("rebalance", *partition_by).write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(
+            *partition_by
+        ).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -128,7 +147,8 @@ def save_as_table(
     info = TABLES[name]
     target = namespace.table(info.layer, name)
     spark = df.sparkSession
-    df.hint("rebalance", *partition_by).write.mode("overwrite").format("parquet").saveAsTable(
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    rows.write.mode("overwrite").format("parquet").saveAsTable(
         target, partitionBy=list(partition_by) or None
     )
     pairs = ", ".join(f"'{key}' = '{value}'" for key, value in info.properties.items())

@@ -58,13 +58,11 @@ def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
         rows = rows.withColumn("accepted", feed.rules.accepted())
         parts = ["accepted"]
         if feed == CLIENT_PROFILES:
-            rows = rows.withColumn("bucket", profile_bucket(lake.buckets))
+            # Many partition values: without the hint every task would write a file for each.
             parts.append("bucket")
-        (
-            rows.hint("rebalance", *parts)
-            .write.mode("overwrite")
-            .partitionBy(*parts)
-            .parquet(f"{lake.arrivals_path(feed)}/batch={batch_id}")
+            rows = rows.withColumn("bucket", profile_bucket(lake.buckets)).hint("rebalance", *parts)
+        rows.write.mode("overwrite").partitionBy(*parts).parquet(
+            f"{lake.arrivals_path(feed)}/batch={batch_id}"
         )
         quarantine(raw, feed).hint("rebalance").write.mode("overwrite").parquet(
             f"{lake.quarantine_path(feed)}/batch={batch_id}"
