@@ -137,7 +137,7 @@ _START = "DATE '2024-01-01' + p_size"
 CAMPAIGN_COLUMNS = {
     # Campaign ids have four digits; beyond 10,000 parts ids repeat and the first arrival wins.
     "campaign_id": (
-        "CASE WHEN p_partkey % 31 = 0 THEN NULL"
+        "CASE WHEN p_partkey % 10000 % 31 = 0 THEN NULL"
         " ELSE 'CMP-' || lpad(CAST(p_partkey % 10000 AS STRING), 4, '0') END"
     ),
     "campaign_name": (
@@ -166,7 +166,7 @@ CAMPAIGN_COLUMNS = {
         " WHEN p_size > 15 THEN 'ACTIVE' ELSE 'COMPLETED' END"
     ),
     "synthetic_record": "true",
-    "_rescued_data": "CASE WHEN p_partkey % 23 = 0 THEN '{drift}' ELSE NULL END",
+    "_rescued_data": "CASE WHEN p_partkey % 10000 % 23 = 0 THEN '{drift}' ELSE NULL END",
     "_ingest_timestamp": (
         "CAST(TIMESTAMP '2024-01-01 00:00:00' AS TIMESTAMP)"
         " + INTERVAL '1' SECOND * p_partkey + INTERVAL '3650' DAY * delivery"
@@ -181,6 +181,8 @@ SOURCES = {
     CAMPAIGNS.name: ("part", CAMPAIGN_SOURCE, CAMPAIGN_REPEATED, CAMPAIGN_COLUMNS),
 }
 SOURCE_KEY = {"events": "event_id", "part": "p_partkey"}
+# Rows that repeat an identity delivered before.
+REPEATS = {"events": "delivery = 1", "part": "delivery = 1 OR p_partkey >= 10000"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -238,8 +240,9 @@ def land_feed(spark: SparkSession, sf_dir: str, feed: Feed, folder: str, waves:
     out of order; repeats come in the last wave. Rows with rescued data land in files of their own
     that have the undeclared column.
     """
-    key = SOURCE_KEY[SOURCES[feed.name][0]]
-    wave = f"CASE WHEN delivery = 1 THEN {WAVES - 1} ELSE {key} % {WAVES - 1} END"
+    source = SOURCES[feed.name][0]
+    early = f"{SOURCE_KEY[source]} % {WAVES - 1}"
+    wave = f"CASE WHEN {REPEATS[source]} THEN {WAVES - 1} ELSE {early} END"
     raw = raw_feed(spark, sf_dir, feed, {"wave": f"CAST({wave} AS INT)"})
     drifted = F.coalesce(F.col("_rescued_data") == DRIFT_JSON, F.lit(False))
     landed = feed.landed_schema.names
