@@ -9,8 +9,6 @@ from lamina.feeds import Feed
 from lamina.functions.typing import typed
 from lamina.operators.dedup import first_arrivals
 
-SYSTEM_PREFIX = "_"
-
 
 def candidates(raw: DataFrame, feed: Feed) -> DataFrame:
     """The typed projection every later step starts from; ``raw`` may be a stream."""
@@ -29,10 +27,9 @@ def clean(raw: DataFrame, feed: Feed, rules_first: bool = False) -> DataFrame:
     return first_arrivals(rows, feed.identity).where(feed.rules.accepted())
 
 
-def raw_payload(df: DataFrame) -> Column:
-    """JSON of the source columns; NULL fields are left out."""
-    source = [name for name in df.columns if not name.startswith(SYSTEM_PREFIX)]
-    return F.to_json(F.struct(*source))
+def raw_payload(feed: Feed) -> Column:
+    """JSON of the landed columns; NULL fields are left out."""
+    return F.to_json(F.struct(*feed.types))
 
 
 def quarantine(raw: DataFrame, feed: Feed, payload_from_source: bool = False) -> DataFrame:
@@ -42,10 +39,9 @@ def quarantine(raw: DataFrame, feed: Feed, payload_from_source: bool = False) ->
     absent from it; ``payload_from_source`` keeps the text as it landed.
     """
     if payload_from_source:
-        rows = candidates(raw.withColumn("_payload", raw_payload(raw)), feed)
+        rows = candidates(raw.withColumn("_payload", raw_payload(feed)), feed)
     else:
-        rows = candidates(raw, feed)
-        rows = rows.withColumn("_payload", raw_payload(rows))
+        rows = candidates(raw, feed).withColumn("_payload", raw_payload(feed))
     return rows.where(feed.rules.rejected()).select(
         *feed.quarantine_columns,
         feed.rules.failures().alias("failed_expectations"),

@@ -1,49 +1,70 @@
 """The registered queries again as plain SQL for an independent engine.
 
-Rules, de-duplication, history and star are written out here without the library's operators;
-only the shape of the raw feeds is shared with ``bindings``.
+Rules, de-duplication, history and star are written out here without the library's operators.
+Shared are the shape of the raw feeds and the given word lists, patterns and column names.
 """
 
 from __future__ import annotations
 
-from lamina.feeds import CAMPAIGNS, CLIENT_PROFILES, ENGAGEMENT_EVENTS
+from lamina.feeds import (
+    CAMPAIGN_ID_PATTERN,
+    CAMPAIGN_STATUSES,
+    CAMPAIGNS,
+    CHANNEL_EVENTS,
+    CHANNELS,
+    CLIENT_ID_PATTERN,
+    CLIENT_PROFILES,
+    CONSENTS,
+    ENGAGEMENT_EVENTS,
+    EVENT_ID_PATTERN,
+    LIFECYCLE_STAGES,
+    OPERATIONS,
+)
+from lamina.operators.star import COUNTED_EVENT_TYPES
 from lamina.plans.bindings import DRIFT_JSON, raw_feed_sql
 
 TIME = "%Y-%m-%d %H:%M:%S.%f"
 UNRESCUED = "coalesce(_rescued_data, '') IN ('', '{}')"
 
+
+def _in(column: str, words: tuple[str, ...]) -> str:
+    return f"{column} IN ({', '.join(repr(word) for word in words)})"
+
+
+def _like(column: str, pattern: str) -> str:
+    return f"regexp_matches({column}, '{pattern}')"
+
+
 RULES = {
     "profiles": {
-        "profile_has_client_id": "regexp_matches(client_id, '^CL-[0-9]{6}$')",
-        "profile_has_valid_operation": "operation IN ('INSERT', 'UPDATE', 'DELETE')",
+        "profile_has_client_id": _like("client_id", CLIENT_ID_PATTERN),
+        "profile_has_valid_operation": _in("operation", OPERATIONS),
         "profile_has_valid_sequence": "operation_timestamp IS NOT NULL",
         "profile_has_valid_lifecycle": (
-            "operation = 'DELETE' OR lifecycle_stage IN ('Prospect', 'Active', 'At Risk', 'Inactive')"
+            f"operation = 'DELETE' OR {_in('lifecycle_stage', LIFECYCLE_STAGES)}"
         ),
         "profile_has_valid_consent": (
-            "operation = 'DELETE' OR (email_consent IN ('granted', 'denied')"
-            " AND personalization_consent IN ('granted', 'denied'))"
+            f"operation = 'DELETE' OR ({_in('email_consent', CONSENTS)}"
+            f" AND {_in('personalization_consent', CONSENTS)})"
         ),
         "profile_has_no_rescued_data": UNRESCUED,
     },
     "campaigns": {
-        "campaign_has_id": "regexp_matches(campaign_id, '^CMP-[0-9]{4}$')",
+        "campaign_has_id": _like("campaign_id", CAMPAIGN_ID_PATTERN),
         "campaign_has_name": "campaign_name IS NOT NULL",
-        "campaign_has_valid_dates": "start_date IS NOT NULL AND end_date >= start_date",
-        "campaign_has_valid_channel": "primary_channel IN ('EMAIL', 'WEB', 'WEBINAR')",
-        "campaign_has_valid_status": "status IN ('PLANNED', 'ACTIVE', 'COMPLETED')",
+        "campaign_has_valid_dates": "end_date - start_date >= 0",
+        "campaign_has_valid_channel": _in("primary_channel", CHANNELS),
+        "campaign_has_valid_status": _in("status", CAMPAIGN_STATUSES),
         "campaign_has_no_rescued_data": UNRESCUED,
     },
     "events": {
-        "engagement_has_event_id": "regexp_matches(event_id, '^EVT-[0-9]{8}$')",
+        "engagement_has_event_id": _like("event_id", EVENT_ID_PATTERN),
         "engagement_has_timestamp": "event_timestamp IS NOT NULL",
-        "engagement_has_client": "regexp_matches(client_id, '^CL-[0-9]{6}$')",
-        "engagement_has_campaign": "regexp_matches(campaign_id, '^CMP-[0-9]{4}$')",
-        "engagement_has_valid_channel_event": (
-            "(channel = 'EMAIL' AND event_type IN ('SENT', 'DELIVERED', 'OPENED', 'CLICKED',"
-            " 'BOUNCED', 'UNSUBSCRIBED')) OR (channel = 'WEB' AND event_type IN ('PAGE_VIEW',"
-            " 'CONTENT_VIEW', 'CTA_CLICK')) OR (channel = 'WEBINAR' AND event_type IN"
-            " ('REGISTERED', 'ATTENDED', 'WATCH_COMPLETED'))"
+        "engagement_has_client": _like("client_id", CLIENT_ID_PATTERN),
+        "engagement_has_campaign": _like("campaign_id", CAMPAIGN_ID_PATTERN),
+        "engagement_has_valid_channel_event": _in(
+            "channel || '/' || event_type",
+            tuple(f"{channel}/{kind}" for channel, kinds in CHANNEL_EVENTS.items() for kind in kinds),
         ),
         "engagement_has_nonnegative_duration": "coalesce(engagement_seconds, 0) >= 0",
         "engagement_has_no_rescued_data": UNRESCUED,
@@ -97,16 +118,9 @@ def _steps() -> dict[str, str]:
         " ON e.client_id = h.client_id AND e.event_timestamp >= h.start_at"
         " AND (h.end_at IS NULL OR e.event_timestamp < h.end_at)"
     )
-    kinds = {
-        "sent_count": "'SENT'", "delivered_count": "'DELIVERED'", "opened_count": "'OPENED'",
-        "clicked_count": "'CLICKED'", "bounced_count": "'BOUNCED'",
-        "unsubscribed_count": "'UNSUBSCRIBED'", "web_view_count": "'PAGE_VIEW', 'CONTENT_VIEW'",
-        "cta_click_count": "'CTA_CLICK'", "webinar_registered_count": "'REGISTERED'",
-        "webinar_attended_count": "'ATTENDED'", "webinar_completed_count": "'WATCH_COMPLETED'",
-    }
     measures = ", ".join(
-        f"CAST(sum(CASE WHEN event_type IN ({listed}) THEN 1 ELSE 0 END) AS BIGINT) AS {name}"
-        for name, listed in kinds.items()
+        f"count(*) FILTER (WHERE {_in('event_type', kinds)}) AS {name}"
+        for name, kinds in COUNTED_EVENT_TYPES.items()
     )
     steps["fact"] = (
         "SELECT CAST(CAST(event_timestamp AS DATE) AS VARCHAR) AS activity_date,"

@@ -101,6 +101,11 @@ def history_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("o_custkey", "o_orderkey", "o_orderpriority", START, END)
 
 
+def version_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = batch(spark, sf_dir)
+    return overlapping_versions(tables.history, heavy=tables.heavy_clients)
+
+
 def asof_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = batch(spark, sf_dir)
     events = tables.clean(ENGAGEMENT_EVENTS).select("event_id", "client_id", "event_timestamp")
@@ -291,9 +296,7 @@ def _registered() -> dict[str, Query]:
             spark, sf_dir, SOON_HEAVY
         ).history,
         "history_with_ties": history_with_ties,
-        "overlapping_versions": lambda spark, sf_dir: overlapping_versions(
-            batch(spark, sf_dir).history
-        ),
+        "overlapping_versions": version_overlaps,
         "dim_client": lambda spark, sf_dir: batch(spark, sf_dir).dim_client,
         "dim_campaign": lambda spark, sf_dir: batch(spark, sf_dir).dim_campaign,
         "asof_events": asof_events,

@@ -40,6 +40,12 @@ class Settings:
     heavy_min_rows: int = MIN_ROWS
     namespace: Namespace | None = None
 
+    @classmethod
+    def from_conf(cls, spark: SparkSession, root: str) -> Settings:
+        """Landing path and names as the session configuration gives them."""
+        names = Namespace.from_conf(spark)
+        return cls(landing=names.landing_path, root=root, namespace=names)
+
     def folder(self, feed: Feed) -> str:
         return f"{self.landing}/{self.folders.get(feed.name, feed.name)}"
 

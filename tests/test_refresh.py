@@ -158,6 +158,14 @@ def described(spark, table):
     return {row[0]: row[1] for row in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
 
 
+def test_settings_follow_the_session(spark):
+    spark.conf.set("lamina.landing_path", "/somewhere")
+    settings = Settings.from_conf(spark, "/lake")
+    spark.conf.unset("lamina.landing_path")
+    assert settings.folder(CAMPAIGNS) == "/somewhere/campaigns" and settings.namespace is not None
+    assert Settings.from_conf(spark, "/lake").landing == "landing"
+
+
 def test_tables_carry_comment_and_properties(spark, names):
     assert names.table("gold", "dim_campaign") == "spark_catalog.named_gold.dim_campaign"
     raw = raw_frame(spark, CAMPAIGNS, [{}])
