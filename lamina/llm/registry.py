@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import bpe
+from lamina.llm import bpe, secret_scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +19,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_bpe": op8_bpe}
+    return {"op8_bpe": op8_bpe, "op9_secrets": op9_secrets}
 
 
 def oracle_sql() -> dict[str, str]:
