@@ -25,9 +25,9 @@ from lamina.llm.blocks import blocks
 
 NO_RANK = np.iinfo(np.int32).max
 #: Distinct pieces a task remembers before it starts anew; the setting has no influence on results.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Bytes of text whose pieces are replayed together.
-REPLAY_BYTES = 1 << 25
+REPLAY_BYTES = 1 << 23
 
 
 class Vocabulary:
