@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import bpe, quality_votes, secret_scan
+from lamina.llm import bpe, private_spans, quality_votes, secret_scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_spans.digest(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_votes.report(table(spark, sf_dir, "documents"))
 
@@ -28,7 +32,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets}
+    return {"op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets}
 
 
 def oracle_sql() -> dict[str, str]:
