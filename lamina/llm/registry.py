@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import bpe, private_spans, quality_votes, secret_scan
+from lamina.llm import bpe, decontaminate, private_spans, quality_votes, secret_scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,8 +31,12 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets}
+    return {"op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets, "op10_decontaminate": op10_decontaminate}
 
 
 def oracle_sql() -> dict[str, str]:
