@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import bpe, decontaminate, ngram_join, private_spans, quality_votes, secret_scan, word_dedup
+from lamina.llm import bpe, byte_dedup, decontaminate, ngram_join, private_spans, quality_votes, secret_scan, word_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_word_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -44,7 +48,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_word_dedup": op2_word_dedup, "op4_ngram_join": op4_ngram_join, "op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets, "op10_decontaminate": op10_decontaminate}
+    return {"op1_byte_dedup": op1_byte_dedup, "op2_word_dedup": op2_word_dedup, "op4_ngram_join": op4_ngram_join, "op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets, "op10_decontaminate": op10_decontaminate}
 
 
 def oracle_sql() -> dict[str, str]:
