@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import bpe, byte_dedup, decontaminate, ngram_join, private_spans, quality_votes, secret_scan, word_dedup
+from lamina.llm import bpe, byte_dedup, decontaminate, license_scan, ngram_join, private_spans, quality_votes, secret_scan, word_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_spans.digest(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_dedup": op1_byte_dedup, "op2_word_dedup": op2_word_dedup, "op4_ngram_join": op4_ngram_join, "op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets, "op10_decontaminate": op10_decontaminate}
+    return {"op1_byte_dedup": op1_byte_dedup, "op2_word_dedup": op2_word_dedup, "op4_ngram_join": op4_ngram_join, "op5_licenses": op5_licenses, "op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets, "op10_decontaminate": op10_decontaminate}
 
 
 def oracle_sql() -> dict[str, str]:
