@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import bpe, byte_dedup, decontaminate, license_scan, ngram_join, private_spans, quality_votes, secret_scan, word_dedup
+from lamina.llm import bpe, byte_dedup, decontaminate, license_scan, ngram_join, preferences, private_spans, quality_votes, secret_scan, word_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_word_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preferences.preference_examples(table(spark, sf_dir, "conversations"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,8 +56,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_dedup": op1_byte_dedup, "op2_word_dedup": op2_word_dedup, "op4_ngram_join": op4_ngram_join, "op5_licenses": op5_licenses, "op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets, "op10_decontaminate": op10_decontaminate}
+    return {"op1_byte_dedup": op1_byte_dedup, "op2_word_dedup": op2_word_dedup, "op3_preferences": op3_preferences, "op4_ngram_join": op4_ngram_join, "op5_licenses": op5_licenses, "op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets, "op10_decontaminate": op10_decontaminate}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_preferences": preferences.ORACLE}
