@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -41,7 +41,7 @@ ENGAGEMENT_TYPES = {
 }
 SYSTEM_TYPES = {
     "_rescued_data": "string", "_ingest_timestamp": "timestamp",
-    "_source_file": "string", "_source_system": "string",
+    "_source_file": "string", "_source_modified": "timestamp", "_source_system": "string",
 }
 
 NOTHING_RESCUED = "_rescued_data IS NULL OR _rescued_data IN ('', '{}')"
@@ -107,6 +107,17 @@ class Feed:
     timestamps: tuple[str, ...] = ()
     dates: tuple[str, ...] = ()
 
+    def with_patterns(self, patterns: Mapping[str, str], source_label: str | None = None) -> Feed:
+        """The feed with other identifier patterns, by contract pattern, and its own source label.
+
+        The contract's patterns are the default; a producer whose keys outgrow their fixed number of
+        digits needs wider ones, as cutting the keys would merge different records.
+        """
+        rules = self.rules.predicates
+        for contract, wider in patterns.items():
+            rules = {name: text.replace(contract, wider) for name, text in rules.items()}
+        return replace(self, rules=RuleSet(rules), source_label=source_label or self.source_label)
+
     @property
     def landed_schema(self) -> T.StructType:
         return struct(self.types)
@@ -142,7 +153,7 @@ def _text(names: Sequence[str]) -> dict[str, str]:
 
 CLIENT_PROFILES = Feed(
     name="client_profiles",
-    source_label="Synthetic M360 profile export",
+    source_label="Synthetic profile export",
     types=_text(PROFILE_TEXT),
     identity=("client_id", "operation_timestamp", "operation"),
     timestamps=("operation_timestamp",),

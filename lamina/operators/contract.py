@@ -41,20 +41,22 @@ def check_counts(
 ) -> DataFrame:
     """Compare every table with its exact expected count or its least count.
 
-    ``expected`` has (asset, expected_rows). All findings are kept; nothing stops at the first.
+    ``expected`` has (asset, expected_rows) and comes from outside, not from the tables under test.
+    All findings are kept; nothing stops at the first. A table that is expected or has a least
+    count but is not there fails, with no actual count.
     """
     counts = row_counts(tables)
-    floors = F.create_map(
-        *(F.lit(item) for pair in min_rows.items() for item in pair)
-    ) if min_rows else F.lit(None).cast("map<string,int>")
+    pairs = [F.struct(F.lit(a).alias("asset"), F.lit(n).cast("long").alias("min_rows")) for a, n in min_rows.items()]
+    none = F.array().cast("array<struct<asset:string,min_rows:bigint>>")
+    floors = expected.sparkSession.range(1).select(F.inline(F.array(*pairs) if pairs else none))
     exact = F.col("expected_rows").isNull() | (F.col("actual_rows") == F.col("expected_rows"))
     enough = F.col("min_rows").isNull() | (F.col("actual_rows") >= F.col("min_rows"))
     return (
-        counts.join(expected.select("asset", "expected_rows"), "asset", "left")
-        .withColumn("min_rows", F.try_element_at(floors, F.col("asset")).cast("long"))
+        counts.join(expected.select("asset", "expected_rows"), "asset", "full")
+        .join(floors, "asset", "full")
         .select(
             "asset", "expected_rows", "min_rows", "actual_rows",
-            F.when(exact & enough, "PASS").otherwise("FAIL").alias("status"),
+            F.when(F.col("actual_rows").isNotNull() & exact & enough, "PASS").otherwise("FAIL").alias("status"),
         )
     )
 
@@ -83,20 +85,30 @@ def identifier_leaks(tables: Mapping[str, DataFrame], pattern: str = CLIENT_ID_P
 
 
 def evidence(
-    counts: DataFrame, leaks: DataFrame, tables: Mapping[str, DataFrame], environment: str
+    counts: DataFrame,
+    leaks: DataFrame,
+    tables: Mapping[str, DataFrame],
+    environment: str,
+    catalog: str = "",
+    schemas: Sequence[str] = (),
 ) -> DataFrame:
-    """One row: environment, counts per asset, failures, and the overall PASS or FAIL."""
+    """One row: environment, names, counts per asset, failures, and the overall PASS or FAIL.
+
+    Rows that are not flagged synthetic, in any of ``tables`` that has the flag, fail the run; so
+    does having no flagged table at all.
+    """
     flagged = [df for df in tables.values() if "synthetic_record" in df.columns]
     synthetic = _stack(
-        [
+        [counts.sparkSession.range(0 if flagged else 1).select(F.lit(1).cast("long").alias("real_rows"))]
+        + [
             df.agg(F.count_if(~F.coalesce("synthetic_record", F.lit(False))).alias("real_rows"))
             for df in flagged
         ]
-    ).agg(F.sum("real_rows").alias("real_rows"))
+    ).agg(F.coalesce(F.sum("real_rows"), F.lit(0)).alias("real_rows"))
     by_asset = F.sort_array(F.collect_list(F.struct("asset", "actual_rows")))
     failing = F.collect_list(F.when(F.col("status") == "FAIL", F.col("asset")))
     summary = counts.agg(
-        F.map_from_entries(by_asset).alias("counts"), F.sort_array(failing).alias("count_failures")
+        F.map_from_entries(F.filter(by_asset, lambda e: e["actual_rows"].isNotNull())).alias("counts"), F.sort_array(failing).alias("count_failures")
     )
     is_leak = F.col("forbidden_name") | (F.col("leaked_values") > 0)
     leaked = leaks.agg(
@@ -106,9 +118,15 @@ def evidence(
     )
     leak_list = leaked.scalar()
     real_rows = synthetic.scalar()
-    clean_run = (F.size("count_failures") == 0) & (F.size("identifier_leaks") == 0)
+    clean_run = (
+        (F.size("count_failures") == 0)
+        & (F.size("identifier_leaks") == 0)
+        & F.coalesce("synthetic_data_only", F.lit(False))
+    )
     return summary.select(
         F.lit(environment).alias("environment"),
+        F.lit(catalog).alias("catalog"),
+        F.lit(",".join(schemas)).alias("schemas"),
         "counts",
         "count_failures",
         leak_list.alias("identifier_leaks"),

@@ -7,13 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ARRIVAL = ("_ingest_timestamp", "_source_file")
+# A file's age and name do not depend on how files were cut into batches, an ingest time does.
+ARRIVAL = ("_source_modified", "_source_file")
+# Columns that say how a row came in; they decide no tie.
+SYSTEM = ("_ingest_timestamp", "_source_file", "_source_modified", "_source_system", "bucket", "batch")
 
 
 def first_arrivals(
     df: DataFrame, identity: Sequence[str], arrival: Sequence[str] = ARRIVAL
 ) -> DataFrame:
-    """Keep the earliest copy of every identity; equal arrivals are settled by a row hash.
+    """Keep the earliest copy of every identity; equal arrivals are settled by a hash of the landed columns.
 
     Spark applies the limit of one per group before the shuffle as well as after it (the
     WindowGroupLimit steps of the plan), so an identity holding a third of all rows sends one row
@@ -23,7 +26,7 @@ def first_arrivals(
     order = [name for name in arrival if name in df.columns]
     by_arrival = Window.partitionBy(*identity).orderBy(*order, "_tie")
     return (
-        df.withColumn("_tie", F.xxhash64(*df.columns))
+        df.withColumn("_tie", F.xxhash64(*(c for c in df.columns if c not in SYSTEM)))
         .withColumn("_copy", F.row_number().over(by_arrival))
         .where(F.col("_copy") == 1)
         .select(*df.columns)

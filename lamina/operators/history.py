@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina.feeds import CLIENT_PROFILES
 from lamina.functions.skew import only_heavy, without_heavy
 from lamina.operators.timeline import SLICE_SECONDS, with_next, with_next_sliced
 
@@ -16,9 +17,13 @@ PROFILE_KEYS = ("client_id",)
 PROFILE_SEQUENCE = "operation_timestamp"
 PROFILE_DELETE = "operation = 'DELETE'"
 PROFILE_LEFT_OUT = (
-    "operation", "_rescued_data", "_ingest_timestamp", "_source_file", "_source_system",
+    "operation", "_rescued_data", "_ingest_timestamp", "_source_file", "_source_modified",
+    "_source_system",
 )
 
+# Landed columns in their order, without key and sequence.
+PROFILE_TIES = tuple(c for c in CLIENT_PROFILES.types if c not in (*PROFILE_KEYS, PROFILE_SEQUENCE))
+
 
 def type2_history(
     changes: DataFrame,
@@ -35,10 +40,11 @@ def type2_history(
 
     Every change ends the version before it; a delete ends it without opening another. Order of
     arrival does not matter. Changes of a key with equal sequence are ordered deletes last, then by
-    ``tie_breakers`` (default: a row hash); only the last of them gets a version.
+    ``tie_breakers`` (default: all columns); only the last of them gets a version. A change without
+    a sequence has no place in the order and is left out.
     """
-    tie = F.struct(*tie_breakers) if tie_breakers else F.xxhash64(*changes.columns)
-    ranked = changes.withColumns(
+    tie = F.struct(*(tie_breakers or changes.columns))
+    ranked = changes.where(F.col(sequence).isNotNull()).withColumns(
         {"_delete": F.expr(f"coalesce({delete_when}, false)"), "_tie": tie}
     )
     if heavy is None:
@@ -68,13 +74,17 @@ def _spans_of_heavy_keys(
 
 
 def profile_history(changes: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
-    """Profile versions from the clean profile changes."""
+    """Profile versions from the clean profile changes.
+
+    Ties are settled by the landed columns alone, so every build of the same files agrees.
+    """
     return type2_history(
         changes,
         keys=PROFILE_KEYS,
         sequence=PROFILE_SEQUENCE,
         delete_when=PROFILE_DELETE,
         leave_out=PROFILE_LEFT_OUT,
+        tie_breakers=PROFILE_TIES,
         heavy=heavy,
     )
 

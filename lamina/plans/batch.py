@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
 
 from lamina.feeds import CAMPAIGNS, CLIENT_PROFILES, ENGAGEMENT_EVENTS, FEEDS, Feed
 from lamina.functions.skew import MIN_ROWS, heavy_or_none
 from lamina.operators.history import PROFILE_KEYS, profile_history
-from lamina.operators.quality import clean, quarantine
+from lamina.operators.quality import candidates, clean, quarantine
 from lamina.operators.star import dim_campaign, dim_client, fact_engagement_daily
 
 
@@ -20,24 +20,31 @@ class BatchTables:
     """Tables derived from the raw frames by feed name; nothing runs before an action.
 
     The exception is ``heavy_clients``, which counts rows per client once to choose between the
-    plan for even keys and the one for heavy keys. It looks at the raw feeds, which is cheap and
-    exact enough: the choice does not change results.
+    plan for even keys and the one for heavy keys. It counts rows that pass the rules: rejected ones
+    often share a placeholder id, which would look like a heavy client that no later step sees.
+    ``feeds`` may carry other identifier patterns than the contract's.
     """
 
     raw: Mapping[str, DataFrame]
     heavy_min_rows: int = MIN_ROWS
+    feeds: tuple[Feed, ...] = FEEDS
+
+    def feed(self, feed: Feed) -> Feed:
+        return next(own for own in self.feeds if own.name == feed.name)
 
     def clean(self, feed: Feed) -> DataFrame:
-        return clean(self.raw[feed.name], feed)
+        return clean(self.raw[feed.name], self.feed(feed))
 
     def quarantine(self, feed: Feed) -> DataFrame:
-        return quarantine(self.raw[feed.name], feed)
+        return quarantine(self.raw[feed.name], self.feed(feed))
 
     @cached_property
     def heavy_clients(self) -> DataFrame | None:
-        per_client = self.raw[CLIENT_PROFILES.name].select(*PROFILE_KEYS).unionAll(
-            self.raw[ENGAGEMENT_EVENTS.name].select(*PROFILE_KEYS)
-        )
+        accepted = [
+            candidates(self.raw[feed.name], feed).where(self.feed(feed).rules.accepted())
+            for feed in (CLIENT_PROFILES, ENGAGEMENT_EVENTS)
+        ]
+        per_client = reduce(DataFrame.unionAll, [rows.select(*PROFILE_KEYS) for rows in accepted])
         return heavy_or_none(per_client, PROFILE_KEYS, min_rows=self.heavy_min_rows)
 
     @cached_property

@@ -14,7 +14,15 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.feeds import CAMPAIGNS, CLIENT_PROFILES, ENGAGEMENT_EVENTS, Feed
+from lamina.feeds import (
+    CAMPAIGN_ID_PATTERN,
+    CAMPAIGNS as CONTRACT_CAMPAIGNS,
+    CLIENT_ID_PATTERN,
+    CLIENT_PROFILES as CONTRACT_PROFILES,
+    ENGAGEMENT_EVENTS as CONTRACT_EVENTS,
+    EVENT_ID_PATTERN,
+    Feed,
+)
 from lamina.session import shared_folder
 from lamina.sources.tables import exists
 
@@ -34,13 +42,31 @@ CHECK_WORDS = {
     "empty": "{}",
 }
 
+# Source keys may have more digits than the contract's ids; they are kept whole.
+WIDE_CLIENT_ID = "^CL-[0-9]{6,}$"
+WIDE_PATTERNS = {
+    CLIENT_ID_PATTERN: WIDE_CLIENT_ID,
+    CAMPAIGN_ID_PATTERN: "^CMP-[0-9]{4,}$",
+    EVENT_ID_PATTERN: "^EVT-[0-9]{8,}$",
+}
+CLIENT_PROFILES = CONTRACT_PROFILES.with_patterns(WIDE_PATTERNS)
+CAMPAIGNS = CONTRACT_CAMPAIGNS.with_patterns(WIDE_PATTERNS)
+ENGAGEMENT_EVENTS = CONTRACT_EVENTS.with_patterns(WIDE_PATTERNS)
+FEEDS = (CLIENT_PROFILES, CAMPAIGNS, ENGAGEMENT_EVENTS)
+
+
+def _padded(number: str, digits: int) -> str:
+    """Filled up with zeros to so many digits; longer numbers stay whole (lpad would cut them)."""
+    return f"lpad({number}, CAST(greatest({digits}, length({number})) AS INT), '0')"
+
+
 PROFILE_SOURCE = "event_type IN ('signup', 'purchase', 'error')"
 PROFILE_REPEATED = "event_id % 10 = 3"
 PROFILE_COLUMNS = {
     "client_id": (
         "CASE WHEN event_id % 97 = 0 THEN NULL"
         " WHEN event_id % 101 = 0 THEN 'CLIENT-' || CAST(user_id AS STRING)"
-        " ELSE 'CL-' || lpad(CAST(user_id AS STRING), 6, '0') END"
+        f" ELSE 'CL-' || {_padded('CAST(user_id AS STRING)', 6)} END"
     ),
     "source_system": "'profile export'",
     "operation": (
@@ -80,6 +106,7 @@ PROFILE_COLUMNS = {
         " ELSE NULL END"
     ),
     "_ingest_timestamp": "CAST(ts AS TIMESTAMP) + INTERVAL '1' DAY * (1 + delivery)",
+    "_source_modified": "CAST(ts AS TIMESTAMP) + INTERVAL '1' HOUR * (1 + delivery)",
     "_source_file": "'client_profiles/part-' || CAST(event_id % 4 AS STRING)",
     "_source_system": f"'{CLIENT_PROFILES.source_label}'",
 }
@@ -89,7 +116,7 @@ ENGAGEMENT_REPEATED = "event_id % 10 = 7"
 ENGAGEMENT_COLUMNS = {
     "event_id": (
         "CASE WHEN event_id % 83 = 0 THEN NULL"
-        " ELSE 'EVT-' || lpad(CAST(event_id AS STRING), 8, '0') END"
+        f" ELSE 'EVT-' || {_padded('CAST(event_id AS STRING)', 8)} END"
     ),
     "interaction_id": "'INT-' || CAST(event_id % 1000 AS STRING)",
     "sequence_number": "event_id % 5 + 1",
@@ -111,11 +138,11 @@ ENGAGEMENT_COLUMNS = {
         " ELSE CASE event_id % 3 WHEN 0 THEN 'SENT' WHEN 1 THEN 'DELIVERED' ELSE 'OPENED' END END"
     ),
     "campaign_id": (
-        "CASE WHEN event_id % 53 = 0 THEN 'MISSING' ELSE 'CMP-' || lpad({k}, 4, '0') END"
+        f"CASE WHEN event_id % 53 = 0 THEN 'MISSING' ELSE 'CMP-' || {_padded('{k}', 4)} END"
     ),
     "client_id": (
         "CASE WHEN event_id % 59 = 0 THEN 'UNKNOWN'"
-        " ELSE 'CL-' || lpad(CAST(user_id AS STRING), 6, '0') END"
+        f" ELSE 'CL-' || {_padded('CAST(user_id AS STRING)', 6)} END"
     ),
     "engagement_seconds": (
         "CASE WHEN delivery = 0 AND event_id % 47 = 0 THEN -30 WHEN event_id % 9 = 0 THEN NULL"
@@ -127,6 +154,7 @@ ENGAGEMENT_COLUMNS = {
         " ELSE NULL END"
     ),
     "_ingest_timestamp": "CAST(ts AS TIMESTAMP) + INTERVAL '1' DAY * (1 + delivery)",
+    "_source_modified": "CAST(ts AS TIMESTAMP) + INTERVAL '1' HOUR * (1 + delivery)",
     "_source_file": "'engagement_events/part-' || CAST(event_id % 4 AS STRING)",
     "_source_system": f"'{ENGAGEMENT_EVENTS.source_label}'",
 }
@@ -135,10 +163,9 @@ CAMPAIGN_SOURCE = "true"
 CAMPAIGN_REPEATED = "p_partkey % 6 = 1"
 _START = "DATE '2024-01-01' + p_size"
 CAMPAIGN_COLUMNS = {
-    # Campaign ids have four digits; beyond 10,000 parts ids repeat and the first arrival wins.
     "campaign_id": (
-        "CASE WHEN p_partkey % 10000 % 31 = 0 THEN NULL"
-        " ELSE 'CMP-' || lpad(CAST(p_partkey % 10000 AS STRING), 4, '0') END"
+        "CASE WHEN p_partkey % 31 = 0 THEN NULL"
+        f" ELSE 'CMP-' || {_padded('CAST(p_partkey AS STRING)', 4)} END"
     ),
     "campaign_name": (
         "CASE WHEN delivery = 0 AND p_partkey % 17 = 0 THEN NULL WHEN delivery = 1"
@@ -166,11 +193,14 @@ CAMPAIGN_COLUMNS = {
         " WHEN p_size > 15 THEN 'ACTIVE' ELSE 'COMPLETED' END"
     ),
     "synthetic_record": "true",
-    "_rescued_data": "CASE WHEN p_partkey % 10000 % 23 = 0 THEN '{drift}' ELSE NULL END",
+    "_rescued_data": "CASE WHEN p_partkey % 23 = 0 THEN '{drift}' ELSE NULL END",
     "_ingest_timestamp": (
         "CAST(TIMESTAMP '2024-01-01 00:00:00' AS TIMESTAMP)"
         " + INTERVAL '1' SECOND * p_partkey + INTERVAL '3650' DAY * delivery"
     ),
+    "_source_modified": (
+        "CAST(TIMESTAMP '2024-01-01 00:00:00' AS TIMESTAMP) + INTERVAL '1' DAY * delivery"
+    ),
     "_source_file": "'campaigns/part-' || CAST(p_partkey % 4 AS STRING)",
     "_source_system": f"'{CAMPAIGNS.source_label}'",
 }
@@ -182,7 +212,7 @@ SOURCES = {
 }
 SOURCE_KEY = {"events": "event_id", "part": "p_partkey"}
 # Rows that repeat an identity delivered before.
-REPEATS = {"events": "delivery = 1", "part": "delivery = 1 OR p_partkey >= 10000"}
+REPEATS = {"events": "delivery = 1", "part": "delivery = 1"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -29,6 +29,12 @@ def table_sources(spark: SparkSession, lake: Lake) -> dict[str, tuple[str, str,
     return {name: source for name, source in sources.items() if exists(spark, source[0])}
 
 
+def _quoted(text: str) -> str:
+    """The text as a SQL string."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def name_tables(spark: SparkSession, lake: Lake, namespace: Namespace) -> list[str]:
     """Point the catalog names at this generation, with comment and properties.
 
@@ -40,11 +46,11 @@ def name_tables(spark: SparkSession, lake: Lake, namespace: Namespace) -> list[s
     for name, (folder, rows, columns) in table_sources(spark, lake).items():
         info = TABLES[name]
         listed = ", ".join(f"`{column}`" for column in columns)
-        pairs = ", ".join(f"'{key}' = '{value}'" for key, value in info.properties.items())
+        pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in info.properties.items())
         try:
             spark.sql(
                 f"CREATE OR REPLACE VIEW {namespace.table(info.layer, name)}"
-                f" COMMENT '{info.comment}' TBLPROPERTIES ({pairs})"
+                f" COMMENT {_quoted(info.comment)} TBLPROPERTIES ({pairs})"
                 f" AS SELECT {listed} FROM parquet.`{folder}` WHERE {rows}"
             )
         except AnalysisException as problem:

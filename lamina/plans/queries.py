@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.feeds import CAMPAIGNS, CLIENT_PROFILES, ENGAGEMENT_EVENTS, FEEDS, Feed
+from lamina.feeds import Feed
 from lamina.functions.skew import MIN_ROWS, heavy_or_none
 from lamina.operators.contract import (
     check_counts,
@@ -22,11 +22,22 @@ from lamina.operators.contract import (
     unknown_references,
 )
 from lamina.operators.dedup import distinct_keys
-from lamina.operators.history import END, START, overlapping_versions, type2_history
-from lamina.operators.quality import candidates
-from lamina.operators.star import effective_events, known_campaign_events
+from lamina.operators.history import END, START, overlapping_versions, profile_history, type2_history
+from lamina.operators.quality import candidates, clean, quarantine
+from lamina.operators.star import effective_events, fact_engagement_daily, known_campaign_events
 from lamina.plans.batch import BatchTables
-from lamina.plans.bindings import WAVES, land_feed, stored_raw, table
+from lamina.plans.bindings import (
+    CAMPAIGNS,
+    CLIENT_PROFILES,
+    ENGAGEMENT_EVENTS,
+    FEEDS,
+    SOURCES,
+    WAVES,
+    WIDE_CLIENT_ID,
+    land_feed,
+    stored_raw,
+    table,
+)
 from lamina.plans.refresh import FULL, INCREMENTAL, Settings, new_lake, refresh, take_in
 from lamina.session import pin_session, shared_folder
 from lamina.sources.drift import read_with_rescue
@@ -44,7 +55,7 @@ SOON_HEAVY, SOON_CROWDED = 40, 2
 
 def batch(spark: SparkSession, sf_dir: str, heavy_min_rows: int = MIN_ROWS) -> BatchTables:
     raw = {feed.name: stored_raw(spark, sf_dir, feed) for feed in FEEDS}
-    return BatchTables(raw, heavy_min_rows)
+    return BatchTables(raw, heavy_min_rows, FEEDS)
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -157,11 +168,86 @@ def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw tables must not be empty; the others must have as many rows as an earlier build."""
+    """Raw tables must have a row per delivery of the source tables; the others must not be empty."""
+    tables = batch(spark, sf_dir)
+    floors = {name: 1 for name in (*tables.quarantine_tables(), *tables.published_tables())}
+    return check_counts(_counted(tables), deliveries(spark, sf_dir), floors)
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(asset, expected_rows): deliveries of each feed, counted on the source tables alone."""
+    counted = []
+    for feed in FEEDS:
+        source, condition, repeated, _ = SOURCES[feed.name]
+        rows = table(spark, sf_dir, source).where(condition)
+        total = F.count(F.lit(1)) + F.count_if(F.expr(repeated))
+        counted.append(rows.agg(total.alias("expected_rows")).select(F.lit(feed.raw_table).alias("asset"), "expected_rows"))
+    return reduce(DataFrame.unionByName, counted)
+
+
+def contract_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A contract that must fail: a wrong expectation, a table that is not there, one too small."""
+    raw = batch(spark, sf_dir).raw_tables()
+    name = CAMPAIGNS.raw_table
+    expected = deliveries(spark, sf_dir).withColumn(
+        "expected_rows", F.col("expected_rows") + F.when(F.col("asset") == name, 1).otherwise(0)
+    )
+    held = {key: df for key, df in raw.items() if key != ENGAGEMENT_EVENTS.raw_table}
+    return check_counts(held, expected, {CLIENT_PROFILES.raw_table: 1_000_000_000, "nowhere": 1})
+
+
+def history_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history does hold client ids; published, it would be a leak."""
+    return identifier_leaks(
+        {"history": batch(spark, sf_dir).history.select("client_id", "lifecycle_stage")}, WIDE_CLIENT_ID
+    )
+
+
+def open_ended_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history whose versions never end: all but the last of a client overlap."""
+    never = F.lit(None).cast("timestamp")
+    return overlapping_versions(batch(spark, sf_dir).history.withColumn(END, never))
+
+
+def unbalanced_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean events without the even ones: the feed must come out unbalanced."""
+    tables = batch(spark, sf_dir)
+    feed = ENGAGEMENT_EVENTS
+    lossy = tables.clean(feed).where(F.expr("cast(substring(event_id, 5) AS bigint) % 2 = 1"))
+    return conservation(tables.raw[feed.name], lossy, tables.quarantine(feed), feed)
+
+
+def daily_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw profile feed with times cut to the day, so that many changes tie."""
+    day = F.expr("substring(operation_timestamp, 1, 10) || 'T00:00:00Z'")
+    cut = F.when(F.col("operation_timestamp") != "not-a-timestamp", day).otherwise(F.col("operation_timestamp"))
+    return stored_raw(spark, sf_dir, CLIENT_PROFILES).withColumn("operation_timestamp", cut)
+
+
+def tied_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile_history(clean(daily_changes(spark, sf_dir), CLIENT_PROFILES))
+
+
+def tied_history_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changes = clean(daily_changes(spark, sf_dir), CLIENT_PROFILES)
+    return profile_history(changes, heavy_or_none(changes, ["client_id"], min_rows=5))
+
+
+def source_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = stored_raw(spark, sf_dir, CLIENT_PROFILES)
+    landed = F.get_json_object("raw_payload", "$.operation_timestamp")
+    rows = quarantine(raw, CLIENT_PROFILES, payload_from_source=True)
+    return rows.select("client_id", "failed_expectations", landed.alias("payload_operation_timestamp"))
+
+
+def fact_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of events that come several times: distinct ids are counted, measures count rows."""
     tables = batch(spark, sf_dir)
-    earlier = row_counts({**tables.quarantine_tables(), **tables.published_tables()})
-    expected = earlier.withColumnRenamed("actual_rows", "expected_rows")
-    return check_counts(_counted(tables), expected, {feed.raw_table: 1 for feed in FEEDS})
+    events = tables.clean(ENGAGEMENT_EVENTS)
+    again = events.where("event_type = 'SENT'")
+    return fact_engagement_daily(
+        events.unionByName(again), tables.history, tables.clean(CAMPAIGNS), unique_events=False
+    )
 
 
 def promotion_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,7 +255,8 @@ def promotion_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     published = tables.published_tables()
     private = {name: published[name] for name in ("dim_client", "fact_engagement_daily")}
     record = evidence(
-        table_contract(spark, sf_dir), identifier_leaks(private), published, "check"
+        table_contract(spark, sf_dir), identifier_leaks(private, WIDE_CLIENT_ID),
+        {**tables.raw_tables(), **published}, "check", "spark_catalog", ("a", "b"),
     )
     pairs = F.transform(
         F.array_sort(F.map_entries("counts")),
@@ -199,7 +286,7 @@ def leak_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = batch(spark, sf_dir)
     published = tables.published_tables()
     return identifier_leaks(
-        {name: published[name] for name in ("dim_client", "fact_engagement_daily")}
+        {name: published[name] for name in ("dim_client", "fact_engagement_daily")}, WIDE_CLIENT_ID
     )
 
 
@@ -209,7 +296,7 @@ def table_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _home(spark: SparkSession) -> Settings:
     home = shared_folder(spark, "refresh")
-    return Settings(landing=f"{home}/landing", root=f"{home}/lake", buckets=BUCKETS)
+    return Settings(landing=f"{home}/landing", root=f"{home}/lake", buckets=BUCKETS, feeds=FEEDS)
 
 
 def history_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,7 +326,7 @@ def same_output_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drift_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events landed in four shapes: declared, extra column, text ids, renamed case and absent."""
+    """Events landed in five shapes: declared, extra column, text ids, absent and renamed, fractions."""
     home = shared_folder(spark, "drift")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     number = F.col("user_id").cast("string")
@@ -250,11 +337,12 @@ def drift_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda df: df.withColumn("origin", origin),
         lambda df: df.withColumn("user_id", text_id),
         lambda df: df.drop("value").withColumnRenamed("event_type", "EVENT_TYPE"),
+        lambda df: df.withColumn("user_id", F.col("user_id") + F.when(F.col("event_id") % 2 == 0, 0.5).otherwise(0.0)),
     )
     folders = []
     for number_of, shape in enumerate(shapes):
         folder = f"{home}/shape-{number_of}"
-        shape(events.where(F.col("event_id") % 4 == number_of)).write.parquet(folder)
+        shape(events.where(F.col("event_id") % 5 == number_of)).write.parquet(folder)
         folders.append(folder)
     return read_with_rescue(spark, folders, events.schema, {})
 
@@ -268,7 +356,7 @@ def landing_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         start_ingest(spark, feed, landing, lake).awaitTermination()
     raw = lake.raw(spark, feed)
     traced = F.col("_source_file").contains("/landing/") & F.col("_ingest_timestamp").isNotNull()
-    return raw.withColumn("has_lineage", traced).drop("_source_file", "_ingest_timestamp")
+    return raw.withColumn("has_lineage", traced).drop("_source_file", "_source_modified", "_ingest_timestamp")
 
 
 def _registered() -> dict[str, Query]:
@@ -309,6 +397,17 @@ def _registered() -> dict[str, Query]:
         "fact_engagement_daily_incremental": fact_incremental,
         "unknown_campaign_events": unknown_campaign_events,
         "column_audit": engagement_audit,
+        "profile_changes_rules_first": lambda spark, sf_dir: clean(
+            stored_raw(spark, sf_dir, CLIENT_PROFILES), CLIENT_PROFILES, rules_first=True
+        ),
+        "profiles_quarantine_source_payload": source_payload,
+        "profile_history_tied": tied_history,
+        "profile_history_tied_sliced": tied_history_sliced,
+        "fact_engagement_daily_distinct": fact_distinct,
+        "contract_failures": contract_failures,
+        "history_identifier_leaks": history_leaks,
+        "open_ended_overlaps": open_ended_overlaps,
+        "unbalanced_feed": unbalanced_feed,
         "table_row_counts": table_row_counts,
         "table_contract": table_contract,
         "promotion_evidence": promotion_evidence,

@@ -30,7 +30,10 @@ GENERATIONS = (
 
 @dataclass(frozen=True)
 class Settings:
-    """Where files land and tables live; ``namespace`` also gives the tables catalog names."""
+    """Where files land and tables live; ``namespace`` also gives the tables catalog names.
+
+    ``feeds`` may carry other identifier patterns and source labels than the contract's.
+    """
 
     landing: str
     root: str
@@ -39,6 +42,7 @@ class Settings:
     max_files: int = MAX_FILES_PER_BATCH
     heavy_min_rows: int = MIN_ROWS
     namespace: Namespace | None = None
+    feeds: tuple[Feed, ...] = FEEDS
 
     @classmethod
     def from_conf(cls, spark: SparkSession, root: str) -> Settings:
@@ -80,12 +84,12 @@ def refresh(spark: SparkSession, settings: Settings, mode: str = INCREMENTAL) ->
 
 def take_in(spark: SparkSession, lake: Lake, settings: Settings) -> None:
     """New landed files to raw, clean and quarantined rows, and to history."""
-    landed = [feed for feed in FEEDS if exists(spark, settings.folder(feed))]
+    landed = [feed for feed in settings.feeds if exists(spark, settings.folder(feed))]
     _finish(
         start_ingest(spark, feed, settings.folder(feed), lake, settings.max_files)
         for feed in landed
     )
-    stored = [feed for feed in FEEDS if exists(spark, lake.raw_path(feed))]
+    stored = [feed for feed in settings.feeds if exists(spark, lake.raw_path(feed))]
     _finish(start_clean(spark, feed, lake) for feed in stored)
     if exists(spark, lake.arrivals_path(CLIENT_PROFILES)):
         _finish([start_history(spark, lake, settings.heavy_min_rows)])

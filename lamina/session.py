@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,8 +18,13 @@ def pin_session(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach, for written intermediate tables.
 
-    The cluster names the parent in ``spark.checkpoint.dir``; only where that is unset (local
-    tests) does a temporary folder of this machine stand in.
+    The cluster names the parent in ``spark.checkpoint.dir``. Only a local master may do without: then
+    a temporary folder of this machine stands in. Elsewhere each executor would write its own disk,
+    so a missing setting is an error.
     """
-    parent = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lamina-")
+    parent = spark.conf.get("spark.checkpoint.dir", None)
+    if not parent:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        parent = tempfile.mkdtemp(prefix="lamina-")
     return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex}"

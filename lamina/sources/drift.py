@@ -21,7 +21,7 @@ def conform(df: DataFrame, declared: T.StructType, keep: Sequence[str] = ()) ->
     """Declared columns plus ``_rescued_data``; ``keep`` names further columns to carry along.
 
     Names match regardless of case. Absent columns become NULL. Unknown columns, and values that do
-    not convert to the declared type, go into ``_rescued_data`` as JSON; it is NULL when nothing
+    not convert to the declared type without loss, go into ``_rescued_data`` as JSON; it is NULL when nothing
     was rescued.
     """
     present = {name.lower(): name for name in df.columns if name not in keep}
@@ -37,7 +37,11 @@ def conform(df: DataFrame, declared: T.StructType, keep: Sequence[str] = ()) ->
             continue
         converted = source.try_cast(field.dataType)
         fitted.append(converted.alias(field.name))
-        rescued.append(F.when(converted.isNull(), source).alias(found))
+        lost = converted.isNull()
+        if not isinstance(df.schema[found].dataType, T.StringType):
+            # A number that does not survive the way back has lost something; text may be written variously.
+            lost = lost | ~converted.try_cast(df.schema[found].dataType).eqNullSafe(source)
+        rescued.append(F.when(lost, source).alias(found))
     rescued += [F.col(f"`{name}`").alias(name) for name in present.values()]
     if rescued:
         # to_json leaves out NULL fields, so rows with nothing to rescue come out as {}.

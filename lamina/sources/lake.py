@@ -55,7 +55,7 @@ class Lake:
 
     def arrivals_schema(self, feed: Feed) -> T.StructType:
         schema = feed.typed_schema.add("batch", "long").add("accepted", "boolean")
-        return schema.add("bucket", "integer") if feed == CLIENT_PROFILES else schema
+        return schema.add("bucket", "integer") if feed.name == CLIENT_PROFILES.name else schema
 
     def raw(self, spark: SparkSession, feed: Feed) -> DataFrame:
         rows = read_or_empty(spark, self.raw_path(feed), feed.raw_schema)

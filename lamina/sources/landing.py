@@ -13,6 +13,8 @@ from lamina.sources.drift import read_with_rescue
 # What the binaryFile source delivers; a stream has to be told.
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length LONG, content BINARY"
 MAX_FILES_PER_BATCH = 10_000
+# By default a file stream ignores files a week older than the newest one. Nothing landed is too old.
+NO_MAX_AGE = "36500d"
 
 
 def landed_paths(
@@ -20,14 +22,16 @@ def landed_paths(
 ) -> DataFrame:
     """A stream with the path of every landed file, each once, files already there included.
 
+    Neither name nor age keeps a file out; only hidden files (names with a leading dot or underscore)
+    are no landed files.
     Only ``path`` is selected, so file contents are not read. ``max_files`` bounds how many paths
     one micro-batch brings to the driver.
     """
     return (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
-        .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", True)
+        .option("maxFileAge", NO_MAX_AGE)
         .option("maxFilesPerTrigger", max_files)
         .load(folder)
         .select("path")
@@ -39,6 +43,7 @@ def read_landed(spark: SparkSession, paths: Sequence[str], feed: Feed) -> DataFr
     lineage = {
         "_ingest_timestamp": F.current_timestamp(),
         "_source_file": F.col("_metadata.file_path"),
+        "_source_modified": F.col("_metadata.file_modification_time"),
         "_source_system": F.lit(feed.source_label),
     }
     return read_with_rescue(spark, paths, feed.landed_schema, lineage)

@@ -13,6 +13,7 @@ from lamina.feeds import CLIENT_PROFILES, Feed
 from lamina.operators.dedup import first_arrivals
 from lamina.operators.quality import candidates, quarantine
 from lamina.sources.lake import Lake
+from lamina.sources.landing import NO_MAX_AGE
 
 
 def profile_bucket(buckets: int):
@@ -57,7 +58,7 @@ def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
             rows = not_seen(rows, seen, feed.identity)
         rows = rows.withColumn("accepted", feed.rules.accepted())
         parts = ["accepted"]
-        if feed == CLIENT_PROFILES:
+        if feed.name == CLIENT_PROFILES.name:
             # Many partition values: without the hint every task would write a file for each.
             parts.append("bucket")
             rows = rows.withColumn("bucket", profile_bucket(lake.buckets)).hint("rebalance", *parts)
@@ -69,7 +70,7 @@ def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
         )
 
     return (
-        spark.readStream.schema(feed.raw_schema)
+        spark.readStream.option("maxFileAge", NO_MAX_AGE).schema(feed.raw_schema)
         .parquet(lake.raw_path(feed))
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", lake.checkpoint(feed.clean_table))

@@ -10,6 +10,7 @@ from lamina.feeds import CLIENT_PROFILES
 from lamina.functions.skew import MIN_ROWS, heavy_or_none
 from lamina.operators.history import PROFILE_KEYS, profile_history
 from lamina.sources.lake import Lake
+from lamina.sources.landing import NO_MAX_AGE
 from lamina.sources.tables import replace_partitions
 
 
@@ -44,7 +45,7 @@ def start_history(
         )
 
     return (
-        spark.readStream.schema(lake.arrivals_schema(CLIENT_PROFILES))
+        spark.readStream.option("maxFileAge", NO_MAX_AGE).schema(lake.arrivals_schema(CLIENT_PROFILES))
         .parquet(lake.arrivals_path(CLIENT_PROFILES))
         .where("accepted")
         .select("bucket")
