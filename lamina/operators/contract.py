@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.feeds import CLIENT_ID_PATTERN, Feed
-from lamina.operators.dedup import ARRIVAL
+from lamina.operators.dedup import ARRIVAL, SYSTEM
 from lamina.operators.quality import candidates
 
 # Column names that would give a person away.
@@ -172,7 +172,7 @@ def conservation(
     """
     copies = candidates(raw, feed)
     copies = copies.withColumns(
-        {"_good": feed.rules.accepted(), "_tie": F.xxhash64(*copies.columns)}
+        {"_good": feed.rules.accepted(), "_tie": F.xxhash64(*(c for c in copies.columns if c not in SYSTEM))}
     )
     order = [name for name in ARRIVAL if name in copies.columns]
     per_identity = copies.groupBy(*feed.identity).agg(

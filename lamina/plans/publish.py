@@ -14,7 +14,7 @@ from lamina.functions.skew import MIN_ROWS, heavy_or_none
 from lamina.functions.typing import activity_date
 from lamina.operators.history import PROFILE_KEYS, PROFILE_SEQUENCE
 from lamina.operators.star import FACT_TYPES, dim_campaign, dim_client, fact_engagement_daily
-from lamina.sources.lake import FACT, Lake
+from lamina.sources.lake import DAY, FACT, Lake
 from lamina.sources.tables import (
     PUBLISHED,
     last_batch,
@@ -24,7 +24,6 @@ from lamina.sources.tables import (
     replace_table,
 )
 
-DAY = "activity_date"
 # One row per publication: the last batch of each feed that it took into account.
 PUBLICATIONS = reduce(
     lambda schema, feed: schema.add(feed.name, "long"), FEEDS, T.StructType().add("at", "timestamp")
@@ -61,59 +60,63 @@ def publish(spark: SparkSession, lake: Lake, heavy_min_rows: int = MIN_ROWS) ->
     row.write.mode("append").parquet(_publications_path(lake))
 
 
-def changed_days(spark: SparkSession, lake: Lake, before: dict[str, int]) -> list:
-    """Days whose fact rows can differ from the last publication; at most one value per day.
+def changed_days(spark: SparkSession, lake: Lake, before: dict[str, int]) -> DataFrame:
+    """(activity_date): days whose fact rows can differ from the last publication.
 
     These are the days of new events, of events of newly accepted campaigns, and of events that
     happened at or after a new change of their client. An event before a change keeps its version,
-    whatever the change does to the end of that version.
+    whatever the change does to the end of that version. Events themselves are not read: the table
+    of event days holds each client, campaign and day once.
     """
     fresh = {
         feed: lake.arrivals(spark, feed).where(
             F.col("accepted") & (F.col("batch") > before[feed.name])
         )
-        for feed in FEEDS
+        for feed in (CLIENT_PROFILES, CAMPAIGNS)
     }
-    events = lake.clean(spark, ENGAGEMENT_EVENTS)
+    known = lake.event_days(spark)
     since = fresh[CLIENT_PROFILES].groupBy(*PROFILE_KEYS).agg(
-        F.min(PROFILE_SEQUENCE).alias("_since")
+        activity_date(F.min(PROFILE_SEQUENCE)).alias("_since")
     )
     touched = (
-        fresh[ENGAGEMENT_EVENTS],
-        events.join(fresh[CAMPAIGNS].select("campaign_id"), "campaign_id", "left_semi"),
-        events.join(since, list(PROFILE_KEYS)).where(F.col("event_timestamp") >= F.col("_since")),
+        known.where(F.col("batch") > before[ENGAGEMENT_EVENTS.name]),
+        known.join(fresh[CAMPAIGNS].select("campaign_id"), "campaign_id", "left_semi"),
+        known.join(since, list(PROFILE_KEYS)).where(F.col(DAY) >= F.col("_since")),
     )
-    days = reduce(
-        DataFrame.unionByName,
-        [df.select(activity_date(F.col("event_timestamp")).alias(DAY)).distinct() for df in touched],
-    )
-    return [row[DAY] for row in days.distinct().collect()]
+    days = reduce(DataFrame.unionByName, [df.select(DAY).distinct() for df in touched])
+    return days.distinct()
 
 
-def _fact(spark: SparkSession, lake: Lake, days: list | None, heavy_min_rows: int) -> DataFrame:
-    events, history = lake.clean(spark, ENGAGEMENT_EVENTS), lake.history(spark)
+def _fact(spark: SparkSession, lake: Lake, days: DataFrame | None, heavy_min_rows: int) -> DataFrame:
+    history = lake.history(spark)
+    events = lake.arrivals(spark, ENGAGEMENT_EVENTS).where("accepted")
     if days is not None:
-        happened = F.col("event_timestamp")
-        after_last = F.date_add(F.lit(max(days)), 1).cast("timestamp")
-        # The range reaches the file scan, the list does the rest.
-        in_range = (happened >= F.lit(min(days)).cast("timestamp")) & (happened < after_last)
-        events = events.where(in_range & activity_date(happened).isin(days))
+        # Two values; as literals they prune partitions in the scan, the semi join does the rest.
+        first, last = days.agg(F.min(DAY), F.max(DAY)).first()
+        events = events.where(F.col(DAY).between(F.lit(first), F.lit(last)))
+        events = events.join(days, DAY, "left_semi")
+        history = history.join(events.select(*PROFILE_KEYS).distinct(), list(PROFILE_KEYS), "left_semi")
     per_client = events.select(*PROFILE_KEYS).unionAll(history.select(*PROFILE_KEYS))
     heavy = heavy_or_none(per_client, PROFILE_KEYS, min_rows=heavy_min_rows)
     return fact_engagement_daily(events, history, lake.clean(spark, CAMPAIGNS), heavy)
 
 
-def _refresh_days(spark: SparkSession, lake: Lake, days: list, heavy_min_rows: int) -> None:
-    if not days:
+def _refresh_days(spark: SparkSession, lake: Lake, days: DataFrame, heavy_min_rows: int) -> None:
+    """Rebuild the changed days; one without rows any more is removed."""
+    listed = lake.staging_path("changed_days")
+    days.write.mode("overwrite").parquet(listed)
+    days = spark.read.schema(days.schema).parquet(listed)
+    if days.isEmpty():
         return
     target, staging = lake.path(PUBLISHED, FACT), lake.staging_path(FACT)
     replace_table(_fact(spark, lake, days, heavy_min_rows), staging)
     rebuilt = spark.read.schema(_fact_schema()).parquet(staging)
     replace_partitions(rebuilt, target, [DAY])
-    # Overwriting leaves a day alone that has no rows any more.
-    kept = {row[DAY] for row in rebuilt.select(DAY).distinct().collect()}
-    for day in set(days) - kept:
-        remove(spark, f"{target}/{DAY}={day.isoformat()}")
+    # Overwriting leaves a day alone that has no rows any more. Only such days come to the driver.
+    published = read_or_empty(spark, target, _fact_schema())
+    emptied = days.join(rebuilt.select(DAY), DAY, "left_anti").join(published.select(DAY), DAY, "left_semi")
+    for row in emptied.toLocalIterator():
+        remove(spark, f"{target}/{DAY}={row[DAY].isoformat()}")
 
 
 def _fact_schema() -> T.StructType:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.feeds import CLIENT_PROFILES, FEEDS, Feed, struct
+from lamina.feeds import CLIENT_PROFILES, ENGAGEMENT_EVENTS, FEEDS, Feed, struct
 from lamina.operators.history import END, PROFILE_LEFT_OUT, START
 from lamina.operators.quality import candidates, quarantine
 from lamina.operators.star import FACT_TYPES
@@ -16,6 +16,9 @@ from lamina.sources.tables import CLEAN, PUBLISHED, RAW, read_or_empty
 
 PROFILE_BUCKETS = 256
 FACT = "fact_engagement_daily"
+DAY = "activity_date"
+# What decides whether a change of a client or a campaign touches a day.
+EVENT_DAY_COLUMNS = ("client_id", "campaign_id", DAY)
 
 
 @dataclass(frozen=True)
@@ -49,12 +52,23 @@ class Lake:
     def quarantine_path(self, feed: Feed) -> str:
         return self.path(CLEAN, feed.quarantine_table)
 
+    @property
+    def event_days_path(self) -> str:
+        """Which clients and campaigns have accepted events on which days, per batch."""
+        return self.path(CLEAN, "event_days")
+
+    def event_days(self, spark: SparkSession) -> DataFrame:
+        schema = struct({"client_id": "string", "campaign_id": "string", DAY: "date", "batch": "long"})
+        return read_or_empty(spark, self.event_days_path, schema)
+
     @property
     def history_path(self) -> str:
         return self.path(CLEAN, "client_profile_history")
 
     def arrivals_schema(self, feed: Feed) -> T.StructType:
         schema = feed.typed_schema.add("batch", "long").add("accepted", "boolean")
+        if feed.name == ENGAGEMENT_EVENTS.name:
+            schema = schema.add(DAY, "date")
         return schema.add("bucket", "integer") if feed.name == CLIENT_PROFILES.name else schema
 
     def raw(self, spark: SparkSession, feed: Feed) -> DataFrame:

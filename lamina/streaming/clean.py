@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lamina.feeds import CLIENT_PROFILES, Feed
+from lamina.feeds import CLIENT_PROFILES, ENGAGEMENT_EVENTS, Feed
+from lamina.functions.typing import activity_date
 from lamina.operators.dedup import first_arrivals
 from lamina.operators.quality import candidates, quarantine
-from lamina.sources.lake import Lake
+from lamina.sources.lake import DAY, EVENT_DAY_COLUMNS, Lake
 from lamina.sources.landing import NO_MAX_AGE
 
 
@@ -62,9 +63,19 @@ def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
             # Many partition values: without the hint every task would write a file for each.
             parts.append("bucket")
             rows = rows.withColumn("bucket", profile_bucket(lake.buckets)).hint("rebalance", *parts)
+        if feed.name == ENGAGEMENT_EVENTS.name:
+            # The fact is rebuilt day by day, so events of a day stand together.
+            parts.append(DAY)
+            rows = rows.withColumn(DAY, activity_date(F.col("event_timestamp"))).hint("rebalance", *parts)
         rows.write.mode("overwrite").partitionBy(*parts).parquet(
             f"{lake.arrivals_path(feed)}/batch={batch_id}"
         )
+        if feed.name == ENGAGEMENT_EVENTS.name:
+            written = session.read.schema(lake.arrivals_schema(feed)).parquet(
+                f"{lake.arrivals_path(feed)}/batch={batch_id}"
+            )
+            days = written.where("accepted").select(*EVENT_DAY_COLUMNS).distinct()
+            days.write.mode("overwrite").parquet(f"{lake.event_days_path}/batch={batch_id}")
         quarantine(raw, feed).hint("rebalance").write.mode("overwrite").parquet(
             f"{lake.quarantine_path(feed)}/batch={batch_id}"
         )

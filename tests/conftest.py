@@ -60,6 +60,7 @@ EVENT = {
 }
 SYSTEM = {
     "_rescued_data": None, "_ingest_timestamp": at("2024-06-01T00:00:00"), "_source_file": "f",
+    "_source_modified": at("2024-05-31T00:00:00"),
     "_source_system": "label",
 }
 

@@ -110,3 +110,19 @@ def test_audits(spark):
     }
     known = spark.createDataFrame([("x",)], "c string")
     assert [r.c for r in unknown_references(df, known, "c").collect()] == ["CL-1"]
+
+
+def test_a_missing_table_fails(spark, tables):
+    found = check_counts(tables, expected(spark, nowhere=3, dim_client=3), {"elsewhere": 1})
+    got = {r.asset: (r.actual_rows, r.status) for r in found.collect()}
+    assert got["nowhere"] == (None, "FAIL") and got["elsewhere"] == (None, "FAIL")
+    assert got["dim_client"] == (3, "PASS") and got["raw"] == (0, "PASS")
+
+
+def test_rows_that_are_not_synthetic_fail_the_run(spark, tables):
+    good = {"fact": tables["fact_engagement_daily"]}
+    real = {"fact": good["fact"].withColumn("synthetic_record", F.lit(None).cast("boolean"))}
+    counts = check_counts(good, expected(spark, fact=1), {})
+    for held, outcome in ((good, "PASS"), (real, "FAIL"), ({"none": spark.range(1)}, "FAIL")):
+        record = evidence(counts, identifier_leaks(good), held, "test", "c", ("x", "y")).first()
+        assert (record.status, record.catalog, record.schemas) == (outcome, "c", "x,y")

@@ -1,13 +1,16 @@
 """Drift rescue and incremental file ingest."""
 
 import json
+import os
 
+import pytest
 from conftest import EVENT, plain
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina.feeds import ENGAGEMENT_EVENTS
 from lamina.sources.drift import conform, frames_by_schema, read_with_rescue
+from lamina.session import shared_folder
 from lamina.sources.lake import Lake
 from lamina.streaming.ingest import start_ingest
 
@@ -95,3 +98,39 @@ def test_each_file_is_ingested_once_and_repeated_batches_leave_no_copies(spark,
     for name in (str(last), f".{last}.crc"):
         (commits / name).unlink(missing_ok=True)
     assert ingest().count() == 18
+
+
+def test_neither_age_nor_name_keeps_a_file_out(spark, tmp_path):
+    landing, lake = tmp_path / "landing", Lake(str(tmp_path / "lake"))
+
+    def ingest():
+        start_ingest(spark, ENGAGEMENT_EVENTS, str(landing), lake).awaitTermination()
+        return sorted(row.event_id for row in lake.raw(spark, ENGAGEMENT_EVENTS).collect())
+
+    land(spark, landing, [1])
+    assert len(ingest()) == 1
+    land(spark, landing / "old", [2])
+    land(spark, landing / "new", [3])
+    for file in (landing / "old").glob("*.parquet"):
+        renamed = file.with_name("delivery.data")
+        file.rename(renamed)
+        os.utime(renamed, (1_500_000_000, 1_500_000_000))
+    assert ingest() == ["EVT-00000001", "EVT-00000002", "EVT-00000003"]
+
+
+def test_a_fraction_that_does_not_fit_is_rescued(spark):
+    df = spark.createDataFrame([(12.7, "a", True), (12.0, "b", False)], "id double, name string, flag boolean")
+    rows = {row["name"]: row for row in conform(df, DECLARED).collect()}
+    assert rows["a"]["id"] == 12 and rows["a"]["_rescued_data"] == '{"id":12.7}'
+    assert rows["b"]["id"] == 12 and rows["b"]["_rescued_data"] is None
+
+
+def test_shared_folder_needs_a_setting_off_local_masters():
+    class Elsewhere:
+        conf = {}
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(Elsewhere(), "x")

@@ -3,18 +3,20 @@
 import random
 
 import pytest
-from conftest import at, moment, plain
+from conftest import at, moment, plain, raw_frame
 from pyspark.sql import functions as F
 
+from lamina.feeds import CLIENT_PROFILES
 from lamina.functions.skew import heavy_keys, heavy_or_none
 from lamina.operators.dedup import distinct_keys, first_arrivals
-from lamina.operators.history import END, START, overlapping_versions, type2_history
+from lamina.operators.history import END, START, overlapping_versions, profile_history, type2_history
+from lamina.operators.quality import candidates
 from lamina.operators.timeline import attach_effective, with_next
 
 
 def test_first_arrival_wins_and_nulls_are_one_identity(spark):
     rows = [("a", 2, "x"), ("a", 1, "y"), ("a", 1, "z"), (None, 5, "p"), (None, 4, "q"), ("b", 9, "r")]
-    df = spark.createDataFrame(rows, "k string, _ingest_timestamp int, _source_file string")
+    df = spark.createDataFrame(rows, "k string, _source_modified int, _source_file string")
     kept = first_arrivals(df, ["k"])
     assert plain(kept.collect()) == plain([("a", 1, "y"), (None, 4, "q"), ("b", 9, "r")])
     assert distinct_keys(df, ["k"]).count() == 3
@@ -22,7 +24,7 @@ def test_first_arrival_wins_and_nulls_are_one_identity(spark):
 
 def test_identical_copies_leave_one_row(spark):
     df = spark.range(1000).select(
-        F.lit("hot").alias("k"), F.lit(1).alias("_ingest_timestamp"), F.lit("f").alias("_source_file")
+        F.lit("hot").alias("k"), F.lit(1).alias("_source_modified"), F.lit("f").alias("_source_file")
     )
     assert first_arrivals(df, ["k"]).count() == 1
 
@@ -151,3 +153,29 @@ def test_next_time_is_the_same_with_and_without_slices(spark):
     even = plain(with_next(df, ["k"], "t", "n").collect())
     for seconds in (1, 10, 10_000):
         assert plain(with_next(df, ["k"], "t", "n", heavy, seconds).collect()) == even
+
+
+def test_ties_do_not_depend_on_how_rows_came_in(spark):
+    """Equal times, other lineage: every build keeps the same version."""
+    kept = []
+    for source, stamp in (("a", "2024-06-01T00:00:00"), ("z", "2025-06-01T00:00:00")):
+        rows = [
+            {"operation": op, "lifecycle_stage": stage, "_source_file": f"{source}{n}", "_ingest_timestamp": at(stamp),
+             "client_id": f"CL-{client:06d}"}
+            for client in range(40)
+            for n, (op, stage) in enumerate((("INSERT", "Prospect"), ("UPDATE", "Active"), ("INSERT", "At Risk")))
+        ]
+        changes = candidates(raw_frame(spark, CLIENT_PROFILES, rows[:: 1 if source == "a" else -1]), CLIENT_PROFILES)
+        kept.append(plain(profile_history(changes).select("client_id", "lifecycle_stage", START, END).collect()))
+    assert kept[0] == kept[1] and len(kept[0]) == 40
+
+
+def test_a_change_without_time_has_no_version_in_either_plan(spark):
+    rows = [("a", None, "x"), ("a", moment(1), "y"), ("b", None, "z")]
+    df = spark.createDataFrame(rows, "k string, t timestamp, v string")
+    heavy = spark.createDataFrame([("a", 2), ("b", 2)], "k string, pieces int")
+    built = [
+        plain(type2_history(df, keys=["k"], sequence="t", delete_when="false", heavy=h).select("k", "v").collect())
+        for h in (None, heavy)
+    ]
+    assert built[0] == built[1] == [("a", "y")]
