@@ -15,11 +15,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from lamina.llm.blocks import BASES, BYTE_VALUES, U64, Rolling, blocks, documents, flat, lists
 from lamina.llm.graph import buckets
-from lamina.llm.owners import Keys, flat_places, holders, joined
+from lamina.llm.owners import Keys, flat_places, gathered, holders, joined, packed, packed_schema
 from lamina.llm.suffix_arrays import Segmented, common_prefixes, suffix_array
 
 LENGTH, GRAM = 50, 24
@@ -116,7 +115,7 @@ def _segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def _covered(segments: DataFrame, length: int) -> DataFrame:
-    """(doc_id, covers array<struct<begin, end>>): stretches of strings an earlier document holds."""
+    """(doc_id, begins array<int>, ends array<int>): stretches of strings an earlier document holds."""
 
     def meet(group: pa.Table) -> pa.Table:
         flat_of = lambda c: group.column(c).combine_chunks().flatten().to_numpy()
@@ -138,14 +137,11 @@ def _covered(segments: DataFrame, length: int) -> DataFrame:
             shift = starts[of] - text.begins[of]
             found.append((docs[of], begins + shift, ends + shift))
         docs, begins, ends = (np.concatenate(c) for c in zip(*found))
-        order = np.lexsort((begins, docs))
-        docs, begins, ends = docs[order], begins[order], ends[order]
-        heads = np.flatnonzero(np.concatenate((np.ones(min(1, len(docs)), bool), docs[1:] != docs[:-1])))
-        per = np.diff(np.append(heads, len(docs)))
-        return pa.table({"doc_id": docs[heads], "begins": lists(per, begins, pa.int32()), "ends": lists(per, ends, pa.int32())})
-
-    met = segments.groupBy("bucket").applyInArrow(meet, "doc_id long, begins array<int>, ends array<int>")
-    return met.groupBy("doc_id").agg(F.collect_list("begins").alias("begins"), F.collect_list("ends").alias("ends"))
+        return packed(docs, {"begins": begins, "ends": ends}, parts)
+
+    parts = buckets(segments)
+    met = segments.groupBy("bucket").applyInArrow(meet, packed_schema("begins", "ends"))
+    return gathered(met, "begins", "ends")
 
 
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

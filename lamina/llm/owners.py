@@ -14,9 +14,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from lamina.llm.blocks import U64, blocks, lists
+from lamina.llm.blocks import U64, blocks, lists, mixed
 from lamina.llm.graph import buckets
 
 
@@ -30,7 +29,7 @@ class Keys(NamedTuple):
 
 
 def holders(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], Keys], shared: bool) -> DataFrame:
-    """(doc_id, places array<array<int>>): places of keys that other documents hold as well.
+    """(doc_id, places array<int>): places of keys that other documents hold as well.
 
     With ``shared`` all of them; without, those that a document with a smaller id holds. Keys are
     compared by 32 bits and their bucket, with the second hash by 96 bits and the bucket: the first serves to
@@ -74,18 +73,42 @@ def holders(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], Keys], shared:
         first, several = _groups(tuple(c[order] for c in columns), docs)
         told = several if shared else docs != first
         docs = np.concatenate((docs[told], flat_of("known_docs")))
-        places = np.concatenate((places[told], flat_of("known_places")))
-        order = np.argsort(docs, kind="stable")
-        docs, places = docs[order], places[order]
-        heads = np.flatnonzero(np.concatenate((np.ones(min(1, len(docs)), bool), docs[1:] != docs[:-1])))
-        return pa.table(
-            {"doc_id": docs[heads], "places": lists(np.diff(np.append(heads, len(docs))), places, pa.int32())}
-        )
+        return packed(docs, {"places": np.concatenate((places[told], flat_of("known_places")))}, parts)
 
     probe = "bucket long, keys array<int>, docs array<long>, places array<int>, known_docs array<long>, known_places array<int>"
     decided = "" if shared else ", checks array<long>"
-    met = rows.mapInArrow(send, probe + decided).groupBy("bucket").applyInArrow(meet, "doc_id long, places array<int>")
-    return met.groupBy("doc_id").agg(F.collect_list("places").alias("places"))
+    met = rows.mapInArrow(send, probe + decided).groupBy("bucket").applyInArrow(meet, packed_schema("places"))
+    return gathered(met, "places")
+
+
+def packed_schema(*names: str) -> str:
+    return ", ".join(["target long, docs array<long>", *(f"{name} array<int>" for name in names)])
+
+
+def packed(docs: np.ndarray, columns: dict[str, np.ndarray], parts: int) -> pa.Table:
+    """Answers for documents, as one row per target part instead of one per document."""
+    target = (mixed(docs.view(U64)) % U64(parts)).astype(np.int64)
+    order = np.argsort(target, kind="stable")
+    per = np.bincount(target, minlength=parts)
+    some = np.flatnonzero(per)
+    held = {"target": pa.array(some, pa.int64()), "docs": lists(per[some], docs[order], pa.int64())}
+    return pa.table(held | {name: lists(per[some], c[order], pa.int32()) for name, c in columns.items()})
+
+
+def gathered(answers: DataFrame, *names: str) -> DataFrame:
+    """(doc_id, one array<int> per name): the packed answers of each document, in one row."""
+
+    def gather(group: pa.Table) -> pa.Table:
+        flat_of = lambda c: group.column(c).combine_chunks().flatten().to_numpy()
+        docs = flat_of("docs")
+        order = np.argsort(docs, kind="stable")
+        docs = docs[order]
+        heads = np.flatnonzero(np.concatenate((np.ones(min(1, len(docs)), bool), docs[1:] != docs[:-1])))
+        per = np.diff(np.append(heads, len(docs)))
+        return pa.table({"doc_id": docs[heads]} | {n: lists(per, flat_of(n)[order], pa.int32()) for n in names})
+
+    schema = ", ".join(["doc_id long", *(f"{name} array<int>" for name in names)])
+    return answers.groupBy("target").applyInArrow(gather, schema)
 
 
 def _groups(columns: tuple[np.ndarray, ...], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,9 +142,6 @@ def joined(rows: DataFrame, places: DataFrame, how: str) -> DataFrame:
 
 
 def flat_places(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row, place) of a column array<array<int>>."""
-    outer = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    inner = column.flatten()
-    lengths = inner.value_lengths().to_numpy(zero_copy_only=False) if len(inner) else np.zeros(0, np.int64)
-    row = np.repeat(np.repeat(np.arange(len(column)), outer), lengths)
-    return row, inner.flatten().to_numpy() if len(inner) else np.zeros(0, np.int32)
+    """(row, place) of a column array<int>; null counts as empty."""
+    lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(column)), lengths), column.flatten().to_numpy(zero_copy_only=False)

@@ -70,7 +70,7 @@ def _covering(size: int, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def repeated_words(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, text, places): every document with the starts of windows an earlier one holds.
 
-    ``places`` is a list of lists, null without any. ``window`` must be at least PERIOD words.
+    ``places`` is null without any. ``window`` must be at least PERIOD words.
     """
     rows = documents(docs)
     anchors = holders(rows, _anchors(window), shared=True)
