@@ -15,13 +15,16 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lamina.llm.blocks import BASES, BYTE_VALUES, U64, Rolling, blocks, documents, flat, lists
 from lamina.llm.graph import buckets
 from lamina.llm.owners import Keys, flat_places, gathered, holders, joined, packed, packed_schema
 from lamina.llm.suffix_arrays import Segmented, common_prefixes, suffix_array
 
-LENGTH, GRAM = 50, 24
+LENGTH, GRAM = 50, 20
+#: Bytes of segments sorted at once. A larger shard is cut by anchor, so its memory is that of a part.
+SORTED_BYTES = 1 << 20
 
 
 def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
@@ -61,7 +64,7 @@ def _anchor_keys(length: int, gram: int):
 
 
 def _segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """(bucket, content, sizes, docs, starts, known_*): segments of shared anchors, dealt to shards.
+    """(bucket, anchors, content, sizes, docs, starts, known_*): segments of shared anchors, dealt to shards.
 
     Equal segments of a block are sent once, for the smallest document; the others are covered as a
     whole and their places are handed on.
@@ -99,17 +102,18 @@ def _segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 local[int(ids[0] + number) % parts] = known.sum()
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.arange(parts)), pa.array([content[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                    pa.array(np.arange(parts)), lists(per, (hashes[anchor[sent]] >> U64(40)).astype(np.int32), pa.int32()),
+                    pa.array([content[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
                     lists(per, size[sent], pa.int32()), lists(per, ids[sent], pa.int64()), lists(per, start[sent], pa.int32()),
                     lists(local, ids[known], pa.int64()), lists(local, start[known], pa.int32()),
                     lists(local, (start + size)[known], pa.int32()),
                 ],
-                ["bucket", "content", "sizes", "docs", "starts", "known_docs", "known_starts", "known_ends"],
+                ["bucket", "anchors", "content", "sizes", "docs", "starts", "known_docs", "known_starts", "known_ends"],
             )
 
     return rows.mapInArrow(
         send,
-        "bucket long, content binary, sizes array<int>, docs array<long>, starts array<int>,"
+        "bucket long, anchors array<int>, content binary, sizes array<int>, docs array<long>, starts array<int>,"
         " known_docs array<long>, known_starts array<int>, known_ends array<int>",
     )
 
@@ -123,19 +127,14 @@ def _covered(segments: DataFrame, length: int) -> DataFrame:
         found = [(flat_of("known_docs"), flat_of("known_starts"), flat_of("known_ends"))]
         if len(sizes):
             content = np.frombuffer(b"".join(group.column("content").to_pylist()), np.uint8)
-            text = Segmented(content, sizes)
-            order = suffix_array(text)
-            agree = common_prefixes(text, order, length)[order]
-            heads = np.flatnonzero(~agree)
-            owner = np.minimum.reduceat(docs[text.segment[order]], heads)
-            later = np.zeros(len(order), bool)
-            later[order] = docs[text.segment[order]] > np.repeat(owner, np.diff(np.append(heads, len(order))))
-            # Runs of strings one after the other are one stretch.
-            begins = np.flatnonzero(later & ~np.concatenate(([False], later[:-1])))
-            ends = np.flatnonzero(later & ~np.concatenate((later[1:], [False]))) + length
-            of = text.segment[begins]
-            shift = starts[of] - text.begins[of]
-            found.append((docs[of], begins + shift, ends + shift))
+            part = flat_of("anchors") % -(-len(content) // SORTED_BYTES)
+            begins = np.cumsum(sizes) - sizes
+            for k in range(part.max() + 1):
+                own = np.flatnonzero(part == k)
+                if len(own):
+                    shift = np.repeat(begins[own] - (np.cumsum(sizes[own]) - sizes[own]), sizes[own])
+                    data = content[np.arange(len(shift)) + shift]
+                    found.append(_later(Segmented(data, sizes[own]), docs[own], starts[own], length))
         docs, begins, ends = (np.concatenate(c) for c in zip(*found))
         return packed(docs, {"begins": begins, "ends": ends}, parts)
 
@@ -144,12 +143,45 @@ def _covered(segments: DataFrame, length: int) -> DataFrame:
     return gathered(met, "begins", "ends")
 
 
+def _later(text: Segmented, docs: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """(doc, begin, end) of the stretches whose strings a smaller document of the shard holds."""
+    order = suffix_array(text)
+    agree = common_prefixes(text, order, length)[order]
+    heads = np.flatnonzero(~agree)
+    of = docs[text.segment[order]]
+    owner = np.minimum.reduceat(of, heads)
+    later = np.zeros(len(order), bool)
+    later[order] = of > np.repeat(owner, np.diff(np.append(heads, len(order))))
+    # Runs of strings one after the other are one stretch.
+    begins = np.flatnonzero(later & ~np.concatenate(([False], later[:-1])))
+    ends = np.flatnonzero(later & ~np.concatenate((later[1:], [False]))) + length
+    segment = text.segment[begins]
+    shift = starts[segment] - text.begins[segment]
+    return docs[segment], begins + shift, ends + shift
+
+
 def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(doc_id, text, begins, ends): every document with the stretches an earlier one holds, or null."""
     rows = documents(docs)
-    anchors = holders(rows, _anchor_keys(length, gram), shared=True)
+    copies = _copies(rows)
+    first = rows.join(copies.select("doc_id"), "doc_id", "left_anti")
+    anchors = holders(first, _anchor_keys(length, gram), shared=True)
     covers = _covered(_segments(joined(rows, anchors, "inner"), length, gram), length)
-    return joined(rows, covers, "left")
+    # An equal text of a smaller document covers a copy from end to end.
+    whole = copies.where(F.col("size") >= length).select(
+        "doc_id", F.array(F.lit(0)).alias("begins"), F.array("size").alias("ends")
+    )
+    return joined(rows, covers.unionByName(whole), "left")
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    """(doc_id, size): documents whose text, by a 128-bit digest, a smaller one has as a whole."""
+    digests = rows.select(
+        "doc_id", F.octet_length("text").alias("size"),
+        F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"),
+    )
+    first = digests.groupBy("size", "h1", "h2").agg(F.min("doc_id").alias("doc_id"))
+    return digests.join(first.select("doc_id"), "doc_id", "left_anti").select("doc_id", "size")
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:

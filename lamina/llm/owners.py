@@ -42,25 +42,28 @@ def holders(rows: DataFrame, keys_of: Callable[[pa.RecordBatch], Keys], shared:
             found = keys_of(block)
             ids = block.column("doc_id").to_numpy()[found.row]
             order = np.lexsort((found.place, ids, found.key))
-            key, ids, place = found.key[order], ids[order], found.place[order]
+            key, ids = found.key[order], ids[order]
             check = np.zeros(len(key), U64) if found.check is None else found.check[order]
             first, several = _groups((key, check) if found.check is not None else (key,), ids)
             known = several if shared else ids != first
-            mine = ids == first
-            bucket = (key % U64(parts)).astype(np.int64)[mine]
-            by = np.argsort(bucket, kind="stable")
-            per = np.bincount(bucket, minlength=parts)
+            told = np.sort(order[known])
+            # In the order of the text: ids and places then hardly take room in the shuffle.
+            mine = np.sort(order[ids == first])
+            bucket = (found.key[mine] % U64(parts)).astype(np.int64)
+            mine, per = mine[np.argsort(bucket, kind="stable")], np.bincount(bucket, minlength=parts)
             local = np.zeros(parts, np.int64)
-            if len(ids):
-                local[int(ids[0] + number) % parts] = known.sum()
-            rest = (key[mine][by] >> U64(32)).astype(np.uint32).view(np.int32)
+            if len(told):
+                local[int(told[0] + number + block.column("doc_id")[0].as_py()) % parts] = len(told)
+            ids = block.column("doc_id").to_numpy()
+            rest = (found.key[mine] >> U64(32)).astype(np.uint32).view(np.int32)
             columns = [
-                pa.array(np.arange(parts)), lists(per, rest, pa.int32()), lists(per, ids[mine][by], pa.int64()),
-                lists(per, place[mine][by], pa.int32()), lists(local, ids[known], pa.int64()), lists(local, place[known], pa.int32()),
+                pa.array(np.arange(parts)), lists(per, rest, pa.int32()), lists(per, ids[found.row[mine]], pa.int64()),
+                lists(per, found.place[mine], pa.int32()), lists(local, ids[found.row[told]], pa.int64()),
+                lists(local, found.place[told], pa.int32()),
             ]
             names = ["bucket", "keys", "docs", "places", "known_docs", "known_places"]
             if found.check is not None:
-                columns.append(lists(per, check[mine][by].view(np.int64), pa.int64()))
+                columns.append(lists(per, found.check[mine].view(np.int64), pa.int64()))
                 names.append("checks")
             yield pa.RecordBatch.from_arrays(columns, names)
 

@@ -77,7 +77,8 @@ def lms_order(symbols: np.ndarray, lms: np.ndarray) -> np.ndarray:
             symbol = symbols[np.minimum(lms[active] + k, size - 1)]
             value = (value << bits) | np.where(k < length[active], symbol, beyond)
         active, step = _refined(rank, active, value), step + packed
-        active = active[step < length[active]] if len(active) else active
+        # One step more than the substring is long, so that its end has been compared.
+        active = active[step <= length[active]]
     ties = np.bincount(rank, minlength=count)[rank] > 1
     active, reach = np.flatnonzero(ties), 1
     while len(active):
