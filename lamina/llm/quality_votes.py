@@ -182,8 +182,8 @@ def estimate(patterns: dict[str, int], rounds: int = 50, smoothing: float = 0.5)
     return model
 
 
-def judged(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The columns of ``docs`` with statistics, ``_votes``, ``_failed``, ``_good`` and ``_kept``.
+def judged(docs: DataFrame, threshold: float = 0.5, carry: tuple[str, ...] | None = None) -> DataFrame:
+    """The columns of ``docs`` (or those of them in ``carry``) with statistics, ``_votes``, ``_failed``, ``_good`` and ``_kept``.
 
     The statistics are written once to the shared folder and read for both the estimate and the
     verdict. Only counts of vote patterns come to the driver, at most 3 ** rules of them. A document
@@ -193,7 +193,8 @@ def judged(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """
     spark = docs.sparkSession
     folder = shared_folder(spark, "quality")
-    statistics(docs).withColumn("_votes", votes()).write.parquet(folder)
+    kept = docs.columns if carry is None else carry
+    statistics(docs).select(*kept, *STATISTICS, votes().alias("_votes")).write.parquet(folder)
     rows = spark.read.parquet(folder)
     # Bounded: one row per pattern of votes.
     patterns = {r["_votes"]: r["n"] for r in rows.groupBy("_votes").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -210,7 +211,7 @@ def judged(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, ...)."""
-    return judged(docs.select("doc_id", "text")).select(
+    return judged(docs.select("doc_id", "text"), carry=("doc_id",)).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("_words").alias("n_words"),
         F.col("_letters").alias("word_chars"), F.col("_symbols").alias("n_symbols"),
         F.col("_dup_lines").alias("n_dup_lines"), F.col("_repeats").alias("n_repeat_words"),
