@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import bpe, byte_dedup, decontaminate, license_scan, ngram_join, preferences, private_spans, quality_votes, secret_scan, word_dedup
+from lamina.llm import bpe, byte_dedup, decontaminate, fill_middle, license_scan, ngram_join, preferences, private_spans, quality_votes, secret_scan, word_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,9 +55,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_dedup": op1_byte_dedup, "op2_word_dedup": op2_word_dedup, "op3_preferences": op3_preferences, "op4_ngram_join": op4_ngram_join, "op5_licenses": op5_licenses, "op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets, "op10_decontaminate": op10_decontaminate}
+    return {"op1_byte_dedup": op1_byte_dedup, "op2_word_dedup": op2_word_dedup, "op3_preferences": op3_preferences, "op4_ngram_join": op4_ngram_join, "op5_licenses": op5_licenses, "op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets, "op10_decontaminate": op10_decontaminate, "op13_fill_middle": op13_fill_middle}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_preferences": preferences.ORACLE}
+    return {"op3_preferences": preferences.ORACLE, "op13_fill_middle": fill_middle.ORACLE}
