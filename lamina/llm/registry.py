@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lamina.llm import bpe, byte_dedup, decontaminate, fill_middle, license_scan, ngram_join, preferences, private_spans, quality_votes, secret_scan, whitening, word_dedup
+from lamina.llm import bpe, byte_dedup, decontaminate, fill_middle, license_scan, main_text, ngram_join, preferences, private_spans, quality_votes, secret_scan, whitening, word_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,12 +59,16 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(table(spark, sf_dir, "embeddings"))
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_byte_dedup": op1_byte_dedup, "op2_word_dedup": op2_word_dedup, "op3_preferences": op3_preferences, "op4_ngram_join": op4_ngram_join, "op5_licenses": op5_licenses, "op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets, "op10_decontaminate": op10_decontaminate, "op11_whitening": op11_whitening, "op13_fill_middle": op13_fill_middle}
+    return {"op1_byte_dedup": op1_byte_dedup, "op2_word_dedup": op2_word_dedup, "op3_preferences": op3_preferences, "op4_ngram_join": op4_ngram_join, "op5_licenses": op5_licenses, "op6_private": op6_private, "op7_quality": op7_quality, "op8_bpe": op8_bpe, "op9_secrets": op9_secrets, "op10_decontaminate": op10_decontaminate, "op11_whitening": op11_whitening, "op12_main_text": op12_main_text, "op13_fill_middle": op13_fill_middle}
 
 
 def oracle_sql() -> dict[str, str]:
