@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # A file's age and name do not depend on how files were cut into batches, an ingest time does.
@@ -13,6 +13,12 @@ ARRIVAL = ("_source_modified", "_source_file")
 SYSTEM = ("_ingest_timestamp", "_source_file", "_source_modified", "_source_system", "bucket", "batch")
 
 
+def arrival_order(columns: Sequence[str], arrival: Sequence[str] = ARRIVAL) -> Column:
+    """Which of two copies came first: age and name of the file, then a hash of the landed columns."""
+    order = [F.col(name) for name in arrival if name in columns]
+    return F.struct(*order, F.xxhash64(*(c for c in columns if c not in SYSTEM)).alias("_tie"))
+
+
 def first_arrivals(
     df: DataFrame, identity: Sequence[str], arrival: Sequence[str] = ARRIVAL
 ) -> DataFrame:
@@ -26,7 +32,7 @@ def first_arrivals(
     order = [name for name in arrival if name in df.columns]
     by_arrival = Window.partitionBy(*identity).orderBy(*order, "_tie")
     return (
-        df.withColumn("_tie", F.xxhash64(*(c for c in df.columns if c not in SYSTEM)))
+        df.withColumn("_tie", arrival_order(df.columns, arrival)["_tie"])
         .withColumn("_copy", F.row_number().over(by_arrival))
         .where(F.col("_copy") == 1)
         .select(*df.columns)

@@ -1,4 +1,9 @@
-"""The published star from the clean tables, rebuilding of the fact only the days that changed."""
+"""The published star: every publication adds what changed and becomes visible by one pointer, moved last.
+
+A publication writes the client versions that are new or ended, the campaigns if any changed, and signed
+differences of the fact. Readers follow the last row of the table of publications, so they see three tables
+of one state however long the writing takes or wherever it fails; a failed run is repaired by the next.
+"""
 
 from __future__ import annotations
 
@@ -7,127 +12,168 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lamina.feeds import CAMPAIGNS, CLIENT_PROFILES, ENGAGEMENT_EVENTS, FEEDS
 from lamina.functions.skew import MIN_ROWS, heavy_or_none
 from lamina.functions.typing import activity_date
 from lamina.operators.history import PROFILE_KEYS, PROFILE_SEQUENCE
-from lamina.operators.star import FACT_TYPES, dim_campaign, dim_client, fact_engagement_daily
-from lamina.sources.lake import DAY, FACT, Lake
-from lamina.sources.tables import (
-    PUBLISHED,
-    last_batch,
-    read_or_empty,
-    remove,
-    replace_partitions,
-    replace_table,
-)
-
-# One row per publication: the last batch of each feed that it took into account.
-PUBLICATIONS = reduce(
-    lambda schema, feed: schema.add(feed.name, "long"), FEEDS, T.StructType().add("at", "timestamp")
-)
-
-
-def publish(spark: SparkSession, lake: Lake, heavy_min_rows: int = MIN_ROWS) -> None:
-    """Bring dimensions and fact up to date; a failed run is repaired by the next one."""
-    upto = {feed.name: last_batch(spark, lake.arrivals_path(feed)) for feed in FEEDS}
-    before = _last_publication(spark, lake)
-
-    def client_dimension() -> None:
-        replace_table(dim_client(lake.history(spark)), lake.path(PUBLISHED, "dim_client"))
-
-    def campaign_dimension() -> None:
-        campaigns = lake.clean(spark, CAMPAIGNS)
-        replace_table(dim_campaign(campaigns), lake.path(PUBLISHED, "dim_campaign"))
-
-    def fact() -> None:
-        if before is None:
-            rows = _fact(spark, lake, None, heavy_min_rows)
-            replace_table(rows, lake.path(PUBLISHED, FACT), [DAY])
-        else:
-            _refresh_days(spark, lake, changed_days(spark, lake, before), heavy_min_rows)
+from lamina.operators.star import dim_campaign, dim_client, fact_difference, fact_engagement_daily
+from lamina.sources.lake import DAY, EVENT_DAY_COLUMNS, FACT, PUBLICATIONS, Lake, Publication
+from lamina.sources.log_table import NO_BASE
+from lamina.sources.tables import PUBLISHED, batches, last_batch, remove
+
 
+def publish(spark: SparkSession, lake: Lake, heavy_min_rows: int = MIN_ROWS) -> Publication:
+    """Bring dimensions and fact up to date, then move the pointer, then remove what nobody reads any more."""
+    before = lake.last_publication(spark)
+    now = _next(spark, lake, before)
     # The three tables are independent; small jobs of one fill the gaps of another.
     with ThreadPoolExecutor() as pool:
-        for done in [pool.submit(step) for step in (fact, client_dimension, campaign_dimension)]:
-            done.result()
-    row = spark.range(1).select(
-        F.current_timestamp().alias("at"),
-        *(F.lit(number).cast("long").alias(name) for name, number in upto.items()),
+        steps = (_publish_fact, _publish_clients, _publish_campaigns)
+        changes = [pool.submit(step, spark, lake, before, now, heavy_min_rows) for step in steps]
+        now = reduce(lambda state, done: Publication(**vars(state) | done.result()), changes, now)
+    _move_pointer(spark, lake, now)
+    if before:
+        _expire(spark, lake, before)
+    return now
+
+
+def _next(spark: SparkSession, lake: Lake, before: Publication | None) -> Publication:
+    """Everything taken in so far, on the bases of the last publication."""
+    return Publication(
+        publication=before.publication + 1 if before else 0,
+        **{feed.name: last_batch(spark, lake.arrivals_path(feed)) for feed in FEEDS},
+        history=lake.history_log.last(spark),
+        history_base=before.history_base if before else NO_BASE,
+        dim_client_base=before.dim_client_base if before else NO_BASE,
+        fact_base=before.fact_base if before else NO_BASE,
+        dim_campaign_at=before.dim_campaign_at if before else 0,
+    )
+
+
+def _publish_clients(spark: SparkSession, lake: Lake, before: Publication | None, now: Publication, _min_rows: int) -> dict:
+    """Versions of clients that changed; those they had before give way.
+
+    Long logs are compacted here, the history's as well: it is the other table kept by client.
+    """
+    history, log = lake.history_log, lake.dim_client_log(spark)
+    new = history.live(spark, now.history, now.history_base)
+    if before is None:
+        log.append(dim_client(new.drop("batch")), None, now.publication)
+        return {}
+    if now.history > before.history:
+        touched = history.rebuilt(spark, before.history, now.history).select(*PROFILE_KEYS).distinct()
+        old = history.live(spark, before.history, before.history_base)
+        old, new = (df.join(touched, list(PROFILE_KEYS), "left_semi").drop("batch") for df in (old, new))
+        log.append(dim_client(new), dim_client(old), now.publication)
+    else:
+        empty = dim_client(new.drop("batch")).limit(0)
+        log.append(empty, empty, now.publication)
+    bases = {}
+    if history.is_long(spark, now.history, now.history_base):
+        history.write_base(history.live(spark, now.history, now.history_base), now.history)
+        bases["history_base"] = now.history
+    if log.is_long(spark, now.publication, now.dim_client_base):
+        log.write_base(log.live(spark, now.publication, now.dim_client_base), now.publication)
+        bases["dim_client_base"] = now.publication
+    return bases
+
+
+def _publish_campaigns(spark: SparkSession, lake: Lake, before: Publication | None, now: Publication, _min_rows: int) -> dict:
+    if before and before.campaigns == now.campaigns:
+        return {}
+    rows = dim_campaign(lake.clean(spark, CAMPAIGNS, now.campaigns))
+    rows.write.mode("overwrite").parquet(lake.dim_campaign_path(now.publication))
+    return {"dim_campaign_at": now.publication}
+
+
+def _publish_fact(spark: SparkSession, lake: Lake, before: Publication | None, now: Publication, min_rows: int) -> dict:
+    """The whole fact once, later the differences that new events, changed clients and campaigns make."""
+    log = lake.fact_log
+    if before is None:
+        log.append(_fact(spark, lake, None, min_rows, now), None, now.publication, [DAY])
+        return {}
+    listed = lake.staging_path("touched_groups")
+    touched = touched_groups(spark, lake, before, now)
+    touched.write.mode("overwrite").parquet(listed)
+    touched = spark.read.schema(touched.schema).parquet(listed)
+    difference = fact_difference(
+        _fact(spark, lake, touched, min_rows, now, before.engagement_events),
+        _fact(spark, lake, touched, min_rows, before),
     )
-    row.write.mode("append").parquet(_publications_path(lake))
+    log.append(difference, None, now.publication, [DAY])
+    if not log.is_long(spark, now.publication, now.fact_base):
+        return {}
+    log.write_base(lake.published(spark, FACT, now), now.publication, [DAY])
+    return {"fact_base": now.publication}
 
 
-def changed_days(spark: SparkSession, lake: Lake, before: dict[str, int]) -> DataFrame:
-    """(activity_date): days whose fact rows can differ from the last publication.
+def touched_groups(spark: SparkSession, lake: Lake, before: Publication, now: Publication) -> DataFrame:
+    """(client_id, campaign_id, activity_date) whose older events may count differently than before.
 
-    These are the days of new events, of events of newly accepted campaigns, and of events that
-    happened at or after a new change of their client. An event before a change keeps its version,
-    whatever the change does to the end of that version. Events themselves are not read: the table
-    of event days holds each client, campaign and day once.
+    These are events at or after a new or replaced change of their client, events of campaigns that came
+    or were replaced, and what stands beside a replaced event. An event before a change keeps its version,
+    whatever the change does to the end of that version. Events themselves are not read: the table of
+    event days holds each client, campaign and day once.
     """
-    fresh = {
-        feed: lake.arrivals(spark, feed).where(
-            F.col("accepted") & (F.col("batch") > before[feed.name])
-        )
-        for feed in (CLIENT_PROFILES, CAMPAIGNS)
-    }
-    known = lake.event_days(spark)
-    since = fresh[CLIENT_PROFILES].groupBy(*PROFILE_KEYS).agg(
+    known = lake.event_days(spark).where(F.col("batch") <= before.engagement_events)
+    changes = lake.arrivals_log(CLIENT_PROFILES)
+    fresh = changes.log(spark, before.client_profiles, now.client_profiles).where("accepted")
+    replaced = changes.rebuilt(spark, before.client_profiles, now.client_profiles)
+    at = [*PROFILE_KEYS, PROFILE_SEQUENCE]
+    since = fresh.select(*at).unionAll(replaced.select(*at)).groupBy(*PROFILE_KEYS).agg(
         activity_date(F.min(PROFILE_SEQUENCE)).alias("_since")
     )
+    campaigns = lake.arrivals_log(CAMPAIGNS).log(spark, before.campaigns, now.campaigns)
+    given_up = lake.arrivals_log(ENGAGEMENT_EVENTS).rebuilt(spark, before.engagement_events, now.engagement_events)
     touched = (
-        known.where(F.col("batch") > before[ENGAGEMENT_EVENTS.name]),
-        known.join(fresh[CAMPAIGNS].select("campaign_id"), "campaign_id", "left_semi"),
         known.join(since, list(PROFILE_KEYS)).where(F.col(DAY) >= F.col("_since")),
+        known.join(campaigns.select("campaign_id"), "campaign_id", "left_semi"),
+        given_up.where(F.col(DAY).isNotNull()),
     )
-    days = reduce(DataFrame.unionByName, [df.select(DAY).distinct() for df in touched])
-    return days.distinct()
+    return reduce(DataFrame.unionByName, [df.select(*EVENT_DAY_COLUMNS) for df in touched]).distinct()
 
 
-def _fact(spark: SparkSession, lake: Lake, days: DataFrame | None, heavy_min_rows: int) -> DataFrame:
-    history = lake.history(spark)
-    events = lake.arrivals(spark, ENGAGEMENT_EVENTS).where("accepted")
-    if days is not None:
+def _fact(
+    spark: SparkSession, lake: Lake, touched: DataFrame | None, heavy_min_rows: int,
+    at: Publication | None = None, but_after: int | None = None,
+) -> DataFrame:
+    """The fact of a state, of the events named by ``touched`` if given.
+
+    ``touched`` names days, or clients and campaigns on days. Events of batches after ``but_after``
+    are taken in any case.
+    """
+    upto = {feed.name: at.upto(feed) if at else None for feed in FEEDS}
+    events = lake.arrivals(spark, ENGAGEMENT_EVENTS, upto[ENGAGEMENT_EVENTS.name]).where("accepted")
+    history = lake.history_log.live(spark, at.history, at.history_base) if at else lake.history(spark)
+    if touched is not None:
+        names = [name for name in EVENT_DAY_COLUMNS if name in touched.columns]
         # Two values; as literals they prune partitions in the scan, the semi join does the rest.
-        first, last = days.agg(F.min(DAY), F.max(DAY)).first()
-        events = events.where(F.col(DAY).between(F.lit(first), F.lit(last)))
-        events = events.join(days, DAY, "left_semi")
+        first, last = touched.agg(F.min(DAY), F.max(DAY)).first()
+        older = events if but_after is None else events.where(F.col("batch") <= but_after)
+        older = older.where(F.col(DAY).between(F.lit(first), F.lit(last)))
+        older = older.join(touched, names, "left_semi").select(events.columns)
+        fresh = [] if but_after is None else [events.where(F.col("batch") > but_after)]
+        events = reduce(DataFrame.unionByName, [older, *fresh])
         history = history.join(events.select(*PROFILE_KEYS).distinct(), list(PROFILE_KEYS), "left_semi")
     per_client = events.select(*PROFILE_KEYS).unionAll(history.select(*PROFILE_KEYS))
     heavy = heavy_or_none(per_client, PROFILE_KEYS, min_rows=heavy_min_rows)
-    return fact_engagement_daily(events, history, lake.clean(spark, CAMPAIGNS), heavy)
-
-
-def _refresh_days(spark: SparkSession, lake: Lake, days: DataFrame, heavy_min_rows: int) -> None:
-    """Rebuild the changed days; one without rows any more is removed."""
-    listed = lake.staging_path("changed_days")
-    days.write.mode("overwrite").parquet(listed)
-    days = spark.read.schema(days.schema).parquet(listed)
-    if days.isEmpty():
-        return
-    target, staging = lake.path(PUBLISHED, FACT), lake.staging_path(FACT)
-    replace_table(_fact(spark, lake, days, heavy_min_rows), staging)
-    rebuilt = spark.read.schema(_fact_schema()).parquet(staging)
-    replace_partitions(rebuilt, target, [DAY])
-    # Overwriting leaves a day alone that has no rows any more. Only such days come to the driver.
-    published = read_or_empty(spark, target, _fact_schema())
-    emptied = days.join(rebuilt.select(DAY), DAY, "left_anti").join(published.select(DAY), DAY, "left_semi")
-    for row in emptied.toLocalIterator():
-        remove(spark, f"{target}/{DAY}={row[DAY].isoformat()}")
+    return fact_engagement_daily(events, history, lake.clean(spark, CAMPAIGNS, upto[CAMPAIGNS.name]), heavy)
 
 
-def _fact_schema() -> T.StructType:
-    return reduce(lambda schema, item: schema.add(*item), FACT_TYPES.items(), T.StructType())
-
-
-def _publications_path(lake: Lake) -> str:
-    return f"{lake.root}/_publications"
+def _move_pointer(spark: SparkSession, lake: Lake, now: Publication) -> None:
+    values = {name: F.lit(number).cast("long") for name, number in vars(now).items()}
+    row = spark.range(1).select(
+        *((values | {"at": F.current_timestamp()})[name].alias(name) for name in PUBLICATIONS.names)
+    )
+    row.coalesce(1).write.mode("append").parquet(lake.publications_path)
 
 
-def _last_publication(spark: SparkSession, lake: Lake) -> dict[str, int] | None:
-    done = read_or_empty(spark, _publications_path(lake), PUBLICATIONS)
-    last = done.orderBy(F.desc("at")).first()
-    return last.asDict() if last else None
+def _expire(spark: SparkSession, lake: Lake, before: Publication) -> None:
+    """Remove what only publications before the last one read, so that their readers can still finish."""
+    lake.history_log.expire(spark, before.history_base)
+    lake.dim_client_log(spark).expire(spark, before.dim_client_base)
+    lake.fact_log.expire(spark, before.fact_base)
+    for number in batches(spark, lake.path(PUBLISHED, "dim_campaign"), "publication="):
+        if number < before.dim_campaign_at:
+            remove(spark, lake.dim_campaign_path(number))

@@ -88,18 +88,22 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def last_batch(spark: SparkSession, path: str) -> int:
-    """Highest ``batch=`` folder of a table written batch by batch, -1 without any.
+def batches(spark: SparkSession, path: str, prefix: str = "batch=") -> list[int]:
+    """Numbers of the ``batch=`` folders of a table written batch by batch, rising.
 
-    Lists one level of folders; asking Spark for the maximum would open every file.
+    Lists one level of folders; asking Spark for the values would open every file.
     """
     if not exists(spark, path):
-        return -1
+        return []
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     entries = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
     names = [entry.getPath().getName() for entry in entries]
-    numbers = [int(name.removeprefix("batch=")) for name in names if name.startswith("batch=")]
-    return max(numbers, default=-1)
+    return sorted(int(name.removeprefix(prefix)) for name in names if name.startswith(prefix))
+
+
+def last_batch(spark: SparkSession, path: str) -> int:
+    """Highest ``batch=`` folder of a table written batch by batch, -1 without any."""
+    return max(batches(spark, path), default=-1)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lamina.feeds import CLIENT_PROFILES, ENGAGEMENT_EVENTS, Feed
 from lamina.functions.typing import activity_date
-from lamina.operators.dedup import first_arrivals
+from lamina.operators.dedup import arrival_order, first_arrivals
 from lamina.operators.quality import candidates, quarantine
 from lamina.sources.lake import DAY, EVENT_DAY_COLUMNS, Lake
 from lamina.sources.landing import NO_MAX_AGE
@@ -21,55 +21,63 @@ def profile_bucket(buckets: int):
     return F.pmod(F.xxhash64("client_id"), F.lit(buckets)).cast("int")
 
 
-def not_seen(rows: DataFrame, seen: DataFrame, identity: tuple[str, ...]) -> DataFrame:
-    """Rows whose identity is not in ``seen``; NULL equals NULL.
+def unseen_or_older(rows: DataFrame, seen: DataFrame, identity: tuple[str, ...]) -> DataFrame:
+    """Rows whose identity is not in ``seen``, or is there by a copy that came later than theirs.
 
-    ``seen`` is first cut down to the identities of ``rows``. When those are few, Spark broadcasts
-    them and the long ``seen`` side is only scanned, not shuffled. Both sides hold an identity
-    once, so neither join has a heavy key.
+    Adds ``_former``: NULL for new identities, else the place columns of the copy that gives way. NULL
+    identities are equal. ``seen`` is first cut down to the identities of ``rows``. When those are few,
+    Spark broadcasts them and the long ``seen`` side is only scanned, not shuffled. Both sides hold an
+    identity once, so no join has a heavy key.
     """
-    repeated = _matching(seen.select(*identity), rows.select(*identity), identity, "left_semi")
-    return _matching(rows, repeated, identity, "left_anti")
-
-
-def _matching(left: DataFrame, right: DataFrame, identity: tuple[str, ...], how: str) -> DataFrame:
-    other = right.select(*(F.col(name).alias(f"_other_{name}") for name in identity))
+    former = F.struct(*(c for c in EVENT_DAY_COLUMNS if c in seen.columns), F.lit(True).alias("_there"))
+    stored = seen.select(
+        *(F.col(name).alias(f"_other_{name}") for name in identity),
+        arrival_order(rows.columns).alias("_taken"), former.alias("_former"),
+    )
     same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_other_{c}")) for c in identity))
-    return left.join(other, same, how)
+    repeated = stored.join(rows.select(*identity), same, "left_semi")
+    met = rows.join(repeated, same, "left").withColumn("_order", arrival_order(rows.columns))
+    kept = met.where(F.col("_taken").isNull() | (F.col("_order") < F.col("_taken")))
+    return kept.select(*rows.columns, "_former")
 
 
 def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
     """Append first copies and quarantined rows of the raw rows that are new since the last run.
 
     Duplicates inside a micro-batch go by an aggregate that combines before its shuffle; those of
-    earlier batches by an anti join with the identities already stored. A stateful
+    earlier batches by joins with the identities already stored. A stateful
     ``dropDuplicates`` would send every copy of a hot identity through one task and keep its
-    state on executors.
+    state on executors. A copy from an older file than the one taken before takes its place, so the
+    order in which files land does not matter; the replaced identities are listed beside the rows.
     """
+    log = lake.arrivals_log(feed)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         raw = batch.select(feed.raw_schema.names)
         rows = first_arrivals(candidates(raw, feed), feed.identity)
+        replaced = None
         if batch_id > 0:
             # Written out so that the planner knows the size of the new rows.
             rows.write.mode("overwrite").parquet(lake.staging_path(feed.name))
             rows = session.read.schema(feed.typed_schema).parquet(lake.staging_path(feed.name))
-            seen = lake.arrivals(session, feed).where(F.col("batch") < batch_id)
-            rows = not_seen(rows, seen, feed.identity)
+            rows = unseen_or_older(rows, log.live(session, batch_id - 1), feed.identity)
+            rows.write.mode("overwrite").parquet(lake.staging_path(f"{feed.name}_taken"))
+            rows = session.read.schema(rows.schema).parquet(lake.staging_path(f"{feed.name}_taken"))
+            replaced = rows.where("_former IS NOT NULL")
+            beside = [F.col(f"_former.{name}").alias(name) for name, _ in log.key_columns]
+            replaced = replaced.select(*feed.identity, *beside)
+            rows = rows.drop("_former")
         rows = rows.withColumn("accepted", feed.rules.accepted())
         parts = ["accepted"]
         if feed.name == CLIENT_PROFILES.name:
-            # Many partition values: without the hint every task would write a file for each.
             parts.append("bucket")
-            rows = rows.withColumn("bucket", profile_bucket(lake.buckets)).hint("rebalance", *parts)
+            rows = rows.withColumn("bucket", profile_bucket(lake.buckets))
         if feed.name == ENGAGEMENT_EVENTS.name:
-            # The fact is rebuilt day by day, so events of a day stand together.
+            # Differences of the fact are worked out from the events of some days, so those stand together.
             parts.append(DAY)
-            rows = rows.withColumn(DAY, activity_date(F.col("event_timestamp"))).hint("rebalance", *parts)
-        rows.write.mode("overwrite").partitionBy(*parts).parquet(
-            f"{lake.arrivals_path(feed)}/batch={batch_id}"
-        )
+            rows = rows.withColumn(DAY, activity_date(F.col("event_timestamp")))
+        log.append(rows, replaced, batch_id, parts)
         if feed.name == ENGAGEMENT_EVENTS.name:
             written = session.read.schema(lake.arrivals_schema(feed)).parquet(
                 f"{lake.arrivals_path(feed)}/batch={batch_id}"
