@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina.session import shared_folder
+
 MIN_ROWS = 1_000_000
 MAX_KEYS = 100_000
 
@@ -25,7 +27,7 @@ def heavy_keys(
 ) -> DataFrame:
     """Keys holding more than ``min_rows`` rows and more than 1/``max_keys`` of all rows.
 
-    ``pieces`` says into how many parts of that size a key would have to be cut. The second
+    ``rows`` counts a key's rows and ``pieces`` says into how many parts of that size it would have to be cut. The second
     condition bounds the result by arithmetic: fewer than ``max_keys`` keys can each hold more
     than 1/``max_keys`` of the rows. That is what makes it safe to broadcast.
     """
@@ -33,7 +35,7 @@ def heavy_keys(
     total = counted.agg(F.sum("_rows")).scalar()
     bearable = F.greatest(F.lit(min_rows), F.ceil(total / F.lit(max_keys)))
     return counted.where(F.col("_rows") > bearable).select(
-        *keys, F.ceil(F.col("_rows") / bearable).cast("int").alias("pieces")
+        *keys, F.ceil(F.col("_rows") / bearable).cast("int").alias("pieces"), F.col("_rows").alias("rows")
     )
 
 
@@ -42,11 +44,13 @@ def heavy_or_none(
 ) -> DataFrame | None:
     """The heavy keys, or None when no key is large, so that even data keeps its simpler plan.
 
-    Runs one counting job now; a boolean comes back to the driver.
+    Runs one counting job now and writes the list to the shared folder: it is used in several places,
+    and counting anew for each would cost more than all else.
     """
-    if rows_per_key(df, keys).where(F.col("_rows") > F.lit(min_rows)).isEmpty():
-        return None
-    return heavy_keys(df, keys, min_rows, max_keys)
+    listed, folder = heavy_keys(df, keys, min_rows, max_keys), shared_folder(df.sparkSession, "heavy")
+    listed.write.parquet(folder)
+    stored = df.sparkSession.read.schema(listed.schema).parquet(folder)
+    return None if stored.isEmpty() else stored
 
 
 def only_heavy(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.feeds import CLIENT_PROFILES
-from lamina.functions.skew import only_heavy, without_heavy
-from lamina.operators.timeline import SLICE_SECONDS, with_next, with_next_sliced
+from lamina.operators.timeline import SLICE_SECONDS, with_next
 
 # Names of the validity columns and of the columns a profile version leaves out.
 START, END = "__START_AT", "__END_AT"
@@ -35,6 +34,7 @@ def type2_history(
     tie_breakers: Sequence[str] = (),
     heavy: DataFrame | None = None,
     slice_seconds: int = SLICE_SECONDS,
+    piece_rows: int | None = None,
 ) -> DataFrame:
     """Versions valid in [START, END), END being NULL for the open one.
 
@@ -48,31 +48,19 @@ def type2_history(
         {"_delete": F.expr(f"coalesce({delete_when}, false)"), "_tie": tie}
     )
     if heavy is None:
-        spans = _spans_of_even_keys(ranked, keys, sequence)
+        # One shuffle: look one change ahead. All but the last of a tie come out with zero length.
+        in_order = Window.partitionBy(*keys).orderBy(sequence, "_delete", "_tie")
+        spans = ranked.withColumn(END, F.lead(sequence).over(in_order))
     else:
-        cut = _spans_of_heavy_keys(only_heavy(ranked, heavy, keys), keys, sequence, slice_seconds)
-        spans = _spans_of_even_keys(without_heavy(ranked, heavy, keys), keys, sequence).unionByName(cut)
+        # Only the last of a tie goes on; Spark drops the others before the shuffle already.
+        last = Window.partitionBy(*keys, sequence).orderBy(F.desc("_delete"), F.desc("_tie"))
+        single = ranked.withColumn("_place", F.row_number().over(last)).where("_place = 1").drop("_place")
+        spans = with_next(single, keys, sequence, END, heavy, slice_seconds, piece_rows)
     is_version = ~F.col("_delete") & (F.col(END).isNull() | (F.col(END) > F.col(sequence)))
     kept = [name for name in changes.columns if name not in leave_out]
     return spans.where(is_version).select(*kept, F.col(sequence).alias(START), END)
 
 
-def _spans_of_even_keys(ranked: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
-    """One shuffle: look one change ahead. All but the last of a tie come out with zero length."""
-    in_order = Window.partitionBy(*keys).orderBy(sequence, "_delete", "_tie")
-    return ranked.withColumn(END, F.lead(sequence).over(in_order))
-
-
-def _spans_of_heavy_keys(
-    ranked: DataFrame, keys: Sequence[str], sequence: str, slice_seconds: int
-) -> DataFrame:
-    """Reduce ties before the shuffle, then look ahead slice by slice."""
-    rest = [name for name in ranked.columns if name not in (*keys, sequence)]
-    last = F.max_by(F.struct(*rest), F.struct("_delete", "_tie")).alias("_last")
-    single = ranked.groupBy(*keys, sequence).agg(last).select(*keys, sequence, "_last.*")
-    return with_next_sliced(single, keys, sequence, END, slice_seconds)
-
-
 def profile_history(changes: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Profile versions from the clean profile changes.
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.functions.keys import campaign_key, version_key
-from lamina.functions.skew import MIN_ROWS
 from lamina.functions.typing import activity_date
 from lamina.operators.history import END, PROFILE_KEYS, START
 from lamina.operators.timeline import SLICE_SECONDS, attach_effective
@@ -84,7 +83,7 @@ def effective_events(
     history: DataFrame,
     heavy: DataFrame | None = None,
     slice_seconds: int = SLICE_SECONDS,
-    piece_rows: int = MIN_ROWS,
+    piece_rows: int | None = None,
 ) -> DataFrame:
     """Events with START and END of the profile version in force when they happened."""
     return attach_effective(

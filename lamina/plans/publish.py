@@ -97,9 +97,19 @@ def _publish_fact(spark: SparkSession, lake: Lake, before: Publication | None, n
     touched = touched_groups(spark, lake, before, now)
     touched.write.mode("overwrite").parquet(listed)
     touched = spark.read.schema(touched.schema).parquet(listed)
+    # Two values; as literals they prune partitions in the scans, semi joins do the rest.
+    days = touched.agg(F.min(DAY), F.max(DAY)).first()
+    sides = [
+        _events_and_history(spark, lake, touched, days, now, before.engagement_events),
+        _events_and_history(spark, lake, touched, days, before),
+    ]
+    # The list only steers partitioning, so that of the later state serves the earlier one as well.
+    heavy = _heavy_clients(*sides[0], min_rows)
     difference = fact_difference(
-        _fact(spark, lake, touched, min_rows, now, before.engagement_events),
-        _fact(spark, lake, touched, min_rows, before),
+        *(
+            fact_engagement_daily(*side, lake.clean(spark, CAMPAIGNS, at.campaigns), heavy)
+            for side, at in zip(sides, (now, before))
+        )
     )
     log.append(difference, None, now.publication, [DAY])
     if not log.is_long(spark, now.publication, now.fact_base):
@@ -135,30 +145,41 @@ def touched_groups(spark: SparkSession, lake: Lake, before: Publication, now: Pu
 
 
 def _fact(
-    spark: SparkSession, lake: Lake, touched: DataFrame | None, heavy_min_rows: int,
-    at: Publication | None = None, but_after: int | None = None,
+    spark: SparkSession, lake: Lake, touched: DataFrame | None, heavy_min_rows: int, at: Publication | None = None
 ) -> DataFrame:
-    """The fact of a state, of the events named by ``touched`` if given.
+    """The fact of a state, of the events named by ``touched`` if given."""
+    days = touched.agg(F.min(DAY), F.max(DAY)).first() if touched is not None else None
+    events, history = _events_and_history(spark, lake, touched, days, at)
+    heavy = _heavy_clients(events, history, heavy_min_rows)
+    return fact_engagement_daily(events, history, lake.clean(spark, CAMPAIGNS, at.campaigns if at else None), heavy)
+
+
+def _events_and_history(
+    spark: SparkSession, lake: Lake, touched: DataFrame | None, days: tuple | None,
+    at: Publication | None = None, but_after: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Accepted events of a state that ``touched`` names, and the versions of their clients.
 
     ``touched`` names days, or clients and campaigns on days. Events of batches after ``but_after``
     are taken in any case.
     """
-    upto = {feed.name: at.upto(feed) if at else None for feed in FEEDS}
-    events = lake.arrivals(spark, ENGAGEMENT_EVENTS, upto[ENGAGEMENT_EVENTS.name]).where("accepted")
+    events = lake.arrivals(spark, ENGAGEMENT_EVENTS, at.engagement_events if at else None).where("accepted")
     history = lake.history_log.live(spark, at.history, at.history_base) if at else lake.history(spark)
-    if touched is not None:
-        names = [name for name in EVENT_DAY_COLUMNS if name in touched.columns]
-        # Two values; as literals they prune partitions in the scan, the semi join does the rest.
-        first, last = touched.agg(F.min(DAY), F.max(DAY)).first()
-        older = events if but_after is None else events.where(F.col("batch") <= but_after)
-        older = older.where(F.col(DAY).between(F.lit(first), F.lit(last)))
-        older = older.join(touched, names, "left_semi").select(events.columns)
-        fresh = [] if but_after is None else [events.where(F.col("batch") > but_after)]
-        events = reduce(DataFrame.unionByName, [older, *fresh])
-        history = history.join(events.select(*PROFILE_KEYS).distinct(), list(PROFILE_KEYS), "left_semi")
+    if touched is None:
+        return events, history
+    names = [name for name in EVENT_DAY_COLUMNS if name in touched.columns]
+    older = events if but_after is None else events.where(F.col("batch") <= but_after)
+    older = older.where(F.col(DAY).between(F.lit(days[0]), F.lit(days[1])))
+    older = older.join(touched, names, "left_semi").select(events.columns)
+    fresh = [] if but_after is None else [events.where(F.col("batch") > but_after)]
+    events = reduce(DataFrame.unionByName, [older, *fresh])
+    history = history.join(events.select(*PROFILE_KEYS).distinct(), list(PROFILE_KEYS), "left_semi")
+    return events, history
+
+
+def _heavy_clients(events: DataFrame, history: DataFrame, min_rows: int) -> DataFrame | None:
     per_client = events.select(*PROFILE_KEYS).unionAll(history.select(*PROFILE_KEYS))
-    heavy = heavy_or_none(per_client, PROFILE_KEYS, min_rows=heavy_min_rows)
-    return fact_engagement_daily(events, history, lake.clean(spark, CAMPAIGNS, upto[CAMPAIGNS.name]), heavy)
+    return heavy_or_none(per_client, PROFILE_KEYS, min_rows=min_rows)
 
 
 def _move_pointer(spark: SparkSession, lake: Lake, now: Publication) -> None:

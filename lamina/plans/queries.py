@@ -53,9 +53,9 @@ BUCKETS = 16
 SOON_HEAVY, SOON_CROWDED = 40, 2
 
 
-def batch(spark: SparkSession, sf_dir: str, heavy_min_rows: int = MIN_ROWS) -> BatchTables:
+def batch(spark: SparkSession, sf_dir: str, heavy_min_rows: int = MIN_ROWS, **cutting: int) -> BatchTables:
     raw = {feed.name: stored_raw(spark, sf_dir, feed) for feed in FEEDS}
-    return BatchTables(raw, heavy_min_rows, FEEDS)
+    return BatchTables(raw, heavy_min_rows, FEEDS, **cutting)
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -124,11 +124,9 @@ def asof_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asof_events_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = batch(spark, sf_dir, SOON_HEAVY)
+    tables = batch(spark, sf_dir, SOON_HEAVY, slice_seconds=86_400, piece_rows=SOON_CROWDED)
     events = tables.clean(ENGAGEMENT_EVENTS).select("event_id", "client_id", "event_timestamp")
-    return effective_events(
-        events, tables.history, tables.heavy_clients, slice_seconds=86_400, piece_rows=SOON_CROWDED
-    )
+    return effective_events(events, tables.history, tables.heavy_clients)
 
 
 def known_events(spark: SparkSession, sf_dir: str) -> DataFrame:
