@@ -261,6 +261,7 @@ def raw_feed_sql(feed: Feed) -> str:
 
 
 WAVES = 4
+SHAPES = ("plain", "drift")
 
 
 def land_feed(spark: SparkSession, sf_dir: str, feed: Feed, folder: str, waves: range) -> None:

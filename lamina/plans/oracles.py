@@ -86,22 +86,22 @@ def _checked(name: str) -> str:
     return f"SELECT *, concat_ws(', ', {failed}) AS failed_expectations FROM {name}_typed"
 
 
-def _first(name: str, only: str = "true") -> str:
+def _first(name: str, only: str = "true", order: str = "_source_modified") -> str:
     return (
         f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {IDENTITIES[name]}"
-        f" ORDER BY _source_modified, _source_file) AS copy FROM {name}_checked WHERE {only}) AS ranked"
+        f" ORDER BY {order}, _source_file) AS copy FROM {name}_checked WHERE {only}) AS ranked"
         " WHERE copy = 1"
     )
 
 
-def _steps() -> dict[str, str]:
+def _steps(order: str = "_source_modified") -> dict[str, str]:
     steps = {}
     for name, feed in (FEED_OF | {"tied": CLIENT_PROFILES}).items():
         steps[f"{name}_raw"] = raw_feed_sql(feed)
         kept = ", operation_timestamp AS landed" if feed is CLIENT_PROFILES else ""
         steps[f"{name}_typed"] = f"SELECT * REPLACE ({TYPED[name]}){kept} FROM {name}_raw"
         steps[f"{name}_checked"] = _checked(name)
-        steps[f"{name}_first"] = _first(name)
+        steps[f"{name}_first"] = _first(name, order=order)
         steps[f"{name}_clean"] = f"SELECT * FROM {name}_first WHERE failed_expectations = ''"
         steps[f"{name}_bad"] = f"SELECT * FROM {name}_checked WHERE failed_expectations <> ''"
     steps["history"] = _history("profiles_clean")
@@ -482,7 +482,51 @@ def _finals() -> dict[str, str]:
     }
 
 
+# What the catalog must say of each table.
+CATALOG = {
+    "client_profiles_raw": ("bronze", "Client profile changes as they landed.", "profiles_raw"),
+    "campaigns_raw": ("bronze", "Campaign plans as they landed.", "campaigns_raw"),
+    "engagement_events_raw": ("bronze", "Engagement events as they landed.", "events_raw"),
+    "client_profile_changes": ("silver", "Accepted profile changes, one per identity.", "profiles_clean"),
+    "campaigns_clean": ("silver", "Accepted campaigns, first arrival per id.", "campaigns_clean"),
+    "engagement_events_clean": ("silver", "Accepted events, first arrival per id.", "events_clean"),
+    "client_profiles_quarantine": ("silver", "Rejected profile changes.", "profiles_bad"),
+    "campaigns_quarantine": ("silver", "Rejected campaigns.", "campaigns_bad"),
+    "engagement_events_quarantine": ("silver", "Rejected events.", "events_bad"),
+    "client_profile_history": ("silver", "Type 2 versions of client profiles.", "history"),
+    "dim_client": ("gold", "Client profile versions without ids.", "history"),
+    "dim_campaign": ("gold", "Campaign attributes.", "campaigns_clean"),
+    "fact_engagement_daily": ("gold", "Engagement per day, client version, campaign and channel.", "fact"),
+}
+
+
+def _finals_of_late_files() -> dict[str, str]:
+    """Results when the files that land last are the oldest: of several copies the one sent last wins."""
+    told = " UNION ALL ".join(
+        f"SELECT '{layer}' AS schema_name, '{name}' AS table_name, '{comment}' AS comment, '{layer}' AS quality,"
+        " 'true' AS demo_synthetic,"
+        f" {chr(39) + 'quarantine' + chr(39) if name.endswith('_quarantine') else 'NULL'} AS quality_status,"
+        f" {chr(39) + 'false' + chr(39) if layer == 'gold' else 'NULL'} AS contains_direct_identifiers,"
+        f" (SELECT count(*) FROM {source}) AS row_count"
+        for name, (layer, comment, source) in CATALOG.items()
+    )
+    agreement = " UNION ALL ".join(
+        f"SELECT '{name}' AS asset, (SELECT count(*) FROM {source}) AS left_rows,"
+        f" (SELECT count(*) FROM {source}) AS right_rows, 0 AS only_left, 0 AS only_right"
+        for name, (_, _, source) in CATALOG.items()
+    )
+    return {
+        "fact_engagement_daily_late_files": "SELECT * FROM fact",
+        "dim_client_late_files": _finals()["dim_client"],
+        "late_files_agreement": agreement,
+        "stored_table_contract": _contract(),
+        "catalog_tables": told,
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    steps = _steps()
-    prefix = "WITH " + ", ".join(f"{name} AS ({sql})" for name, sql in steps.items())
-    return {name: f"{prefix} {final}" for name, final in _finals().items()}
+    known = {}
+    for steps, finals in ((_steps(), _finals()), (_steps("_source_modified DESC"), _finals_of_late_files())):
+        prefix = "WITH " + ", ".join(f"{name} AS ({sql})" for name, sql in steps.items())
+        known |= {name: f"{prefix} {final}" for name, final in finals.items()}
+    return known

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -31,6 +33,7 @@ from lamina.plans.bindings import (
     CLIENT_PROFILES,
     ENGAGEMENT_EVENTS,
     FEEDS,
+    SHAPES,
     SOURCES,
     WAVES,
     WIDE_CLIENT_ID,
@@ -38,10 +41,13 @@ from lamina.plans.bindings import (
     stored_raw,
     table,
 )
+from lamina.plans.naming import name_tables
 from lamina.plans.refresh import FULL, INCREMENTAL, Settings, new_lake, refresh, take_in
 from lamina.session import pin_session, shared_folder
 from lamina.sources.drift import read_with_rescue
 from lamina.sources.lake import Lake
+from lamina.sources.landing import set_modified
+from lamina.sources.tables import TABLES, Namespace, exists, read_table
 from lamina.streaming.ingest import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +57,8 @@ BUCKETS = 16
 
 # Far below what is heavy in earnest, so that the way for heavy keys is taken on any scale.
 SOON_HEAVY, SOON_CROWDED = 40, 2
+# Table properties that consumers look up.
+PROPERTIES = ("quality", "demo.synthetic", "quality.status", "contains_direct_identifiers")
 
 
 def batch(spark: SparkSession, sf_dir: str, heavy_min_rows: int = MIN_ROWS, **cutting: int) -> BatchTables:
@@ -317,6 +325,88 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.published(spark, "fact_engagement_daily")
 
 
+#: Hours by which the files of a wave are older than those of the first ones, though they land later.
+AGED = {2: 1, 3: 2}
+_LATE: dict[tuple[str, str], tuple[Lake, Lake]] = {}
+
+
+def late_lakes(spark: SparkSession, sf_dir: str) -> tuple[Lake, Lake]:
+    """Lakes grown step by step and built at once, of the same files, once per application.
+
+    The files that land last are the oldest, so repeats replace the copies that were taken in before.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LATE:
+        settings = _home(spark)
+        now = int(time.time() * 1000)
+        for waves in (FIRST_WAVES, LATER_WAVES):
+            for feed in FEEDS:
+                land_feed(spark, sf_dir, feed, settings.folder(feed), waves)
+                for wave in waves:
+                    for shape in SHAPES:
+                        folder = f"{settings.folder(feed)}/{shape}/wave={wave}"
+                        if exists(spark, folder):
+                            set_modified(spark, folder, now - 3_600_000 * AGED.get(wave, 0))
+            grown = refresh(spark, settings, INCREMENTAL)
+        _LATE[key] = (grown, refresh(spark, settings, FULL))
+    return _LATE[key]
+
+
+def fact_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late_lakes(spark, sf_dir)[0].published(spark, "fact_engagement_daily")
+
+
+def dim_client_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late_lakes(spark, sf_dir)[0].published(spark, "dim_client")
+
+
+def late_files_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every table of the lake grown step by step against the one built at once, row by row."""
+    lineage = ("_ingest_timestamp", "_source_file", "_source_modified")
+    grown, whole = (lake.tables(spark) for lake in late_lakes(spark, sf_dir))
+    compared = [
+        differences(df.drop(*lineage), whole[name].drop(*lineage)).select(F.lit(name).alias("asset"), "*")
+        for name, df in grown.items()
+    ]
+    return reduce(DataFrame.unionByName, compared)
+
+
+def stored_table_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract on the stored tables of a lake that was refreshed twice."""
+    tables = late_lakes(spark, sf_dir)[0].tables(spark)
+    counted = {name: tables[name] for name in _counted(batch(spark, sf_dir))}
+    floors = {name: 1 for name in counted if not name.endswith("_raw")}
+    return check_counts(counted, deliveries(spark, sf_dir), floors)
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names given by the session's configuration: what the catalog says of each table, and its rows."""
+    lake = late_lakes(spark, sf_dir)[0]
+    unique = uuid.uuid4().hex
+    layers = ("bronze", "silver", "gold")
+    for layer in layers:
+        spark.conf.set(f"lamina.{layer}_schema", f"{layer}_{unique}")
+    names = Namespace.from_conf(spark)
+    for layer in layers:
+        spark.conf.unset(f"lamina.{layer}_schema")
+        folder = shared_folder(spark, "schema")
+        spark.sql(f"CREATE DATABASE {layer}_{unique} LOCATION '{folder}'")
+    rows = []
+    for name in name_tables(spark, lake, names):
+        full = names.table(TABLES[name].layer, name)
+        about = spark.catalog.getTable(full)
+        given = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
+        read = read_table(spark, names, name).agg(F.count(F.lit(1)).alias("row_count"))
+        told = [F.lit(given.get(key)).alias(key.replace(".", "_")) for key in PROPERTIES]
+        rows.append(
+            read.select(
+                F.lit(about.namespace[0].removesuffix(f"_{unique}")).alias("schema_name"), F.lit(name).alias("table_name"),
+                F.lit(about.description).alias("comment"), *told, "row_count",
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
 def same_output_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History from one batch against history grown by refreshes, row by row."""
     at_once = batch(spark, sf_dir).history
@@ -415,6 +505,11 @@ def _registered() -> dict[str, Query]:
         "same_output_check": same_output_check,
         "drift_rescue": drift_rescue,
         "landing_ingest_incremental": landing_ingest,
+        "fact_engagement_daily_late_files": fact_late_files,
+        "dim_client_late_files": dim_client_late_files,
+        "late_files_agreement": late_files_agreement,
+        "stored_table_contract": stored_table_contract,
+        "catalog_tables": catalog_tables,
     }
 
 
