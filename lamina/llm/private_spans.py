@@ -17,11 +17,16 @@ from pyspark.sql import functions as F
 from lamina.session import shared_folder
 
 # Kinds in their order, expressions, and the lists of the gazetteer and context labelers.
-# \G and the look-behind only keep a failed run of characters from being tried again inside.
+# \G and the look-behind only keep a failed run of characters from being tried again inside. A repeated group
+# takes one character and looks back at what must not stand together: the engine repeats groups of fixed length
+# in a loop, others by a call for each, which runs out of stack on long runs.
 CANDIDATES = {
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "email": (
+        r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@(?=[A-Za-z0-9-]++\.[A-Za-z0-9-])"
+        r"[A-Za-z0-9-](?:[A-Za-z0-9.-](?<!\.\.))+(?<!\.)"
+    ),
     "ip": r"(?:\G|(?<![0-9]))[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-    "card": r"[0-9]([\x20-]?[0-9])+",
+    "card": r"[0-9](?:[0-9\x20-](?<![\x20-][\x20-]))+(?<=[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "name": r"(?<![\p{L}])(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sra?)\.?\x20\p{Lu}\p{Ll}+",
@@ -74,6 +79,9 @@ LABELERS = {
         for kind in KINDS
     },
 }
+#: Labelers whose reliability is known by construction: how often they say yes to private and to other
+#: spans. Check digits hold in every real card number and in one of ten others.
+KNOWN = {("check", "card"): (0.995, 0.1)}
 CONTEXT = 24
 YES, NO, ABSTAIN = "y", "n", "-"
 
@@ -146,13 +154,19 @@ def candidates(docs: DataFrame) -> DataFrame:
 def reliabilities(counts: dict[tuple[str, str], int], rounds: int = 40, smoothing: float = 1.0) -> dict:
     """Posterior of being private for each (kind, votes), by expectation-maximisation per kind.
 
-    It starts from the share of yes among the votes cast. Labelers are taken to be right more often
-    than not; abstaining says nothing. The number of patterns is bounded by kinds * 3 ** labelers.
+    It starts from the share of yes among the votes cast, or where a labeler's reliability is known from
+    that labeler alone. Other labelers are taken to be right more often than not; abstaining says nothing.
+    Labelers that look at the same trait agree on right and wrong spans alike, so votes alone may rate
+    the one good labeler as the odd one out; the known one keeps its weight. The number of patterns is bounded by kinds * 3 ** labelers.
     """
     posterior = {}
     for kind in KINDS:
         patterns = {votes: n for (k, votes), n in counts.items() if k == kind}
         guess = {v: (v.count(YES) + 0.5) / (v.count(YES) + v.count(NO) + 1) for v in patterns}
+        known = {k: KNOWN[name, kind] for k, name in enumerate(LABELERS) if (name, kind) in KNOWN}
+        for k, (given_private, given_not) in known.items():
+            sure = {YES: given_private / (given_private + given_not), NO: (1 - given_private) / (2 - given_private - given_not)}
+            guess = {v: sure.get(v[k], p) for v, p in guess.items()}
         for _ in range(rounds):
             mass = sum(guess[v] * n for v, n in patterns.items()) + smoothing
             total = sum(patterns.values()) + 2 * smoothing
@@ -165,7 +179,7 @@ def reliabilities(counts: dict[tuple[str, str], int], rounds: int = 40, smoothin
                         side[0] += n * guess[v]
                         side[1] += n * (1 - guess[v])
                 yes = (hit[0] / (hit[0] + miss[0]), hit[1] / (hit[1] + miss[1]))
-                right.append((max(yes[0], 0.5), min(yes[1], 0.5)))
+                right.append(known.get(k, (max(yes[0], 0.5), min(yes[1], 0.5))))
             for v in patterns:
                 odds = np.log(mass / (total - mass))
                 for vote, (given_private, given_not) in zip(v, right):

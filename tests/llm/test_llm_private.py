@@ -54,6 +54,49 @@ def test_base_spans(spark):
         assert set(joined.split(",")) - {""} <= set(row["spans"].split(","))
 
 
+LONG = {
+    "0 1 2 3 4 5 6 7 8 9 " * 50_000: [],
+    "7" * 1_000_000: [],
+    "a@b" + ".c" * 100_000: [("email", 0, 200_003)],
+    "1." * 100_000: [("ip", 8 * k, 8 * k + 7) for k in range(25_000)],
+    "-".join("12" * 100_000): [],
+    "a." * 100_000 + "@b.c": [("email", 0, 200_004)],
+    "x@" + "y-" * 100_000 + ".z..": [("email", 0, 200_004)],
+    "+1" + " (2)" * 50_000: [],
+    "a@b" + ".." * 100_000: [],
+}
+
+
+def test_long_runs(spark):
+    """Runs of digits, labels and parts far beyond what a call per repetition has stack for."""
+    rows = {r["doc_id"]: r for r in rows_of(digest(docs_of(spark, [*enumerate(LONG)])))}
+    for k, (text, spans) in enumerate(LONG.items()):
+        joined = ",".join(":".join(map(str, span)) for span in spans)
+        assert rows[k]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest(), text[:20]
+
+
+def test_kept_cards_among_decoys(spark):
+    """Planted numbers with right check digits, decoys of the same lengths and issuers with wrong ones."""
+    picked = random.Random(11)
+
+    def number(valid):
+        digits = picked.choice(["4", "51", "36", "6011", "35"])
+        digits += "".join(picked.choices("0123456789", k=picked.choice([14, 15, 16]) - len(digits)))
+        ending = next(d for d in "0123456789" if luhn(digits + d))
+        return digits + (ending if valid else str((int(ending) + picked.randint(1, 9)) % 10))
+
+    before = ["card ", "pay with visa ", "order ", "serial id ", "the number ", "", "see "]
+    texts, truth = [], []
+    for k in range(900):
+        valid = k % 3 == 0
+        texts.append(f"some words {picked.choice(before)}{number(valid)} and more {picked.choice(['', 'a@b.org ', '10.0.0.1 '])}words")
+        truth.append(valid)
+    rows = {r["doc_id"]: "card:" in r["spans"] for r in rows_of(digest(docs_of(spark, [*enumerate(texts)])))}
+    kept = sum(rows.values())
+    right = sum(rows[k] and truth[k] for k in rows)
+    assert right / kept >= 0.9 and right / sum(truth) >= 0.9
+
+
 def test_spans_have_contents_and_no_python(spark):
     found = find(docs_of(spark, [(1, "mail me: ab@cd.org now"), (2, None)]))
     assert not re.search("Python|Pandas|Arrow", found._jdf.queryExecution().executedPlan().toString())
