@@ -37,6 +37,14 @@ def documents(docs: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores in front as it takes to be none of the columns'."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def blocks(batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut into slices with at most ``limit`` bytes of column ``text``."""
     for batch in batches:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.llm.blocks import documents
+from lamina.llm.blocks import documents, free_name
 from lamina.llm.joins import grams, with_known
 
 #: Shortest tile in words, and the share of an item's words that must be tiled.
@@ -77,8 +77,12 @@ def contaminated(
     ``size`` words are compared by their whole sequence. Null or empty texts match nothing, null ids
     are left out, repeated ids count once, an empty table on either side gives no rows.
     """
-    rows = documents(docs)
     named = documents(items.select(F.col("item_id").alias("doc_id"), "text")).withColumnRenamed("doc_id", "item_id")
+    return _search(documents(docs), named, size, coverage)
+
+
+def _search(rows: DataFrame, named: DataFrame, size: int, coverage: float) -> DataFrame:
+    """Tiled pairs of (doc_id, text) and (item_id, text); rows with equal ids must have equal texts."""
     # Seeds of short items are as long as the items, so every item has at least one seed.
     lengths = grams(named, "item_id", 1).groupBy("item_id").agg(F.count(F.lit(1)).cast("int").alias("item_words"))
     found = _tiled(rows, named.join(lengths.where(F.col("item_words") >= size), "item_id"), size, coverage)
@@ -93,6 +97,8 @@ def _tiled(rows: DataFrame, items: DataFrame, size: int, coverage: float) -> Dat
     known = grams(items, "item_id", size).withColumnRenamed("position", "item_place")
     known = known.join(items.select("item_id", "item_words"), "item_id")
     seeds = with_known(grams(rows, "doc_id", size), known)
+    # Copies under one id give equal seeds, which are combined before the shuffle.
+    seeds = seeds.select("doc_id", "item_id", "item_words", "position", "item_place").distinct()
     gathered = seeds.groupBy("doc_id", "item_id").agg(
         F.first("item_words").alias("item_words"),
         F.collect_list("position").alias("doc_places"),
@@ -119,10 +125,15 @@ def _tiled(rows: DataFrame, items: DataFrame, size: int, coverage: float) -> Dat
     return gathered.where(possible).mapInArrow(run, schema)
 
 
-def clean_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
+def clean_rows(docs: DataFrame, items: DataFrame, size: int = TILE_WORDS, coverage: float = LEAST_COVERAGE) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns.
 
-    Rows without an id cannot be compared and stay.
+    Every row is searched for every item text: rows and items go by a 64-bit hash of their text, as seeds do,
+    so null and repeated ids, on either side and with whatever texts, hide nothing. Null texts are empty.
     """
-    found = contaminated(docs, items).select(F.col("doc_id").alias("_leaking")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("_leaking"), "left_anti").select(*docs.columns)
+    digest = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    named = items.select(digest.alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
+    rows = docs.select(digest.alias("doc_id"), F.col("text").cast("string").alias("text"))
+    leaking = free_name(docs, "leaking")
+    found = _search(rows, named, size, coverage).select(F.col("doc_id").alias(leaking)).distinct()
+    return docs.join(found, digest == F.col(leaking), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

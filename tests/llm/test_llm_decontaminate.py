@@ -70,6 +70,17 @@ def test_clean_rows_stay_whole(spark):
     docs = docs_of(spark, [(1, f"x {item} y"), (2, "other words"), (None, item), (3, None), (2, "other words")])
     kept = clean_rows(docs, items_of(spark, [(0, item)]))
     assert kept.columns == docs.columns
-    assert sorted(str(r["doc_id"]) for r in rows_of(kept)) == ["2", "2", "3", "None"]
+    # A row without an id is searched like any other.
+    assert sorted(str(r["doc_id"]) for r in rows_of(kept)) == ["2", "2", "3"]
     assert clean_rows(docs, items_of(spark, [])).count() == 5
     assert contaminated(docs_of(spark, []), items_of(spark, [(0, item)])).collect() == []
+
+
+def test_every_row_is_searched_for_every_item(spark):
+    """Texts under one id, items under one id, rows and items without id, names that clash."""
+    one, two = (" ".join(f"{w}{k}" for k in range(20)) for w in "tu")
+    pairs = [(1, "a clean text"), (1, f"so {one} it is"), (1, "a clean text"), (None, two), (None, "clean too"), (7, two), (7, two), (8, "b clean text")]
+    docs = docs_of(spark, pairs).selectExpr("*", "3 AS leaking", "4 AS _leaking", "5 AS gram", "6 AS item_id")
+    kept = clean_rows(docs, items_of(spark, [(5, "other"), (5, one), (None, two)]))
+    assert kept.columns == docs.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in rows_of(kept)) == [("1", "a clean text"), ("1", "a clean text"), ("8", "b clean text"), ("None", "clean too")]
