@@ -36,11 +36,13 @@ HEX = re.compile(r"[0-9a-f]+")
 EXTRA = {
     "github": (("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), re.compile(r"gh[pousr]_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")),
     "npm": (("npm_",), re.compile(r"npm_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z])")),
-    "jwt": (("eyJ",), re.compile(r"(eyJ[0-9A-Za-z_-]{8,})\.eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{16,}")),
+    "jwt": (("eyJ",), re.compile(r"(eyJ[0-9A-Za-z_-]{8,}+)\.eyJ[0-9A-Za-z_-]{8,}\.[0-9A-Za-z_-]{16,}")),
     "slack": (("xoxb-", "xoxp-", "xoxa-", "xoxr-"), re.compile(r"xox[bpar]-[0-9]{8,}-[0-9A-Za-z-]{16,}")),
     "private": (("-----BEGIN ",), re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[0-9A-Za-z+/=\s]{32,}-----END [A-Z ]{0,30}PRIVATE KEY-----")),
 }
 KINDS = (*BASE_KINDS, *EXTRA)
+# What all starts inside one run of these characters have in common: if the first fails, so do the others.
+RUNS = {"jwt": re.compile(r"eyJ[0-9A-Za-z_-]*+")}
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -61,7 +63,7 @@ def is_header(part: str) -> bool:
     """Whether a part decodes to a JSON object naming its algorithm, as the head of a JWT does."""
     try:
         return "alg" in json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4)))
-    except (ValueError, TypeError, binascii.Error):
+    except (ValueError, TypeError, binascii.Error, RecursionError):
         return False
 
 
@@ -94,16 +96,21 @@ def lowered(text: str) -> str:
     return text.lower() if text.isascii() else text.encode().lower().decode()
 
 
-def anchored(text: str, starts: Iterable[int], pattern: re.Pattern) -> Iterator[re.Match]:
+def anchored(text: str, starts: Iterable[int], pattern: re.Pattern, run: re.Pattern | None = None) -> Iterator[re.Match]:
     """Leftmost non-overlapping matches; ``starts`` ascend and hold every place one can begin.
 
-    A match takes up its characters whether or not a later check keeps it.
+    A match takes up its characters whether or not a later check keeps it. A start that fails takes
+    up its ``run``, if there is one, so that a run full of starts is read once and not once per start.
     """
     free = 0
     for start in starts:
-        if start >= free and (match := pattern.match(text, start)):
+        if start < free:
+            continue
+        if match := pattern.match(text, start):
             free = match.end()
             yield match
+        elif run and (same := run.match(text, start)):
+            free = same.end()
 
 
 def hex_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,7 +140,7 @@ def scan(text: str, hex_places: Iterable[int]) -> list[tuple[int, int, str]]:
             spans += [(*m.span(), kind) for m in anchored(text, starts, ACCESS) if len(m[0]) >= LEAST_ACCESS]
         else:
             check = CHECKS.get(kind, bool)
-            spans += [(*m.span(), kind) for m in anchored(text, starts, EXTRA[kind][1]) if check(m)]
+            spans += [(*m.span(), kind) for m in anchored(text, starts, EXTRA[kind][1], RUNS.get(kind)) if check(m)]
     spans += [(*m.span(), "hex") for m in anchored(text, hex_places, HEX)]
     return sorted(spans, key=lambda span: (span[0], KINDS.index(span[2])))
 
