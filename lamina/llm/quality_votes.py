@@ -221,5 +221,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with the columns of ``docs``."""
-    return judged(docs).where("_kept").select(*docs.columns)
+    """The rows of ``docs`` that are kept, with the columns of ``docs``, whatever their names.
+
+    A row travels as one struct, so no column of it can meet a statistic of the same name.
+    """
+    row = F.struct(*(F.col(f"`{name}`") for name in docs.columns))
+    packed = docs.select(row.alias("row"), F.col("text"))
+    return judged(packed, carry=("row",)).where("_kept").select("row.*")

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 from llm_helpers import docs_of, rows_of
+from pyspark.sql import functions as F
 
 from lamina.llm.quality_votes import estimate, keep_good, report
 
@@ -58,6 +59,16 @@ def test_kept_rows_have_their_columns(spark):
     assert report(docs_of(spark, [])).collect() == []
 
 
+def test_columns_named_like_statistics_stay(spark):
+    names = ["_text", "_list", "_windows", "_line_list", "_words", "_votes", "_good", "_failed", "_kept", "row", "_row", "a.b"]
+    docs = docs_of(spark, [(1, " ".join(f"w{i}" for i in range(90))), (2, "short")])
+    docs = docs.select("*", *(F.lit(f"value of {name}").alias(name) for name in names))
+    kept = keep_good(docs)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    assert [row.asDict() for row in kept.collect()] == [row.asDict() for row in docs.where("doc_id = 1").collect()]
+    assert report(docs).count() == 2
+
+
 def test_no_python_in_the_plan(spark):
     plan = report(docs_of(spark, [(1, "a b c")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
