@@ -13,6 +13,7 @@ from lamina.operators.history import END, PROFILE_KEYS, PROFILE_LEFT_OUT, START
 from lamina.operators.quality import quarantine
 from lamina.operators.star import FACT_GROUP, FACT_TYPES, dim_client, merged_fact
 from lamina.sources.log_table import NO_BASE, LogTable
+from lamina.sources.members import Members
 from lamina.sources.tables import CLEAN, PUBLISHED, RAW, read_or_empty
 
 PROFILE_BUCKETS = 256
@@ -105,6 +106,12 @@ class Lake:
         beside = tuple(EVENT_DAY_TYPES.items()) if feed.name == ENGAGEMENT_EVENTS.name else ()
         return LogTable(f"{self.root}/{CLEAN}", schema, feed.identity, beside, f"{feed.name}_arrivals")
 
+    def arrivals_members(self, feed: Feed) -> Members:
+        """Which batch, and which bucket or day of it, took in an identity."""
+        schema = self.arrivals_schema(feed)
+        place = {CLIENT_PROFILES.name: "bucket", ENGAGEMENT_EVENTS.name: DAY}.get(feed.name)
+        return Members(self.path(CLEAN, f"{feed.name}_members"), feed.identity, schema[place] if place else None)
+
     @property
     def history_log(self) -> LogTable:
         """Versions, rebuilt client by client."""

@@ -15,6 +15,8 @@ from lamina.operators.dedup import arrival_order, first_arrivals
 from lamina.operators.quality import candidates, quarantine
 from lamina.sources.lake import DAY, EVENT_DAY_COLUMNS, Lake
 from lamina.sources.landing import NO_MAX_AGE
+from lamina.sources.members import earlier_copies
+from lamina.sources.tables import batches
 
 
 def profile_bucket(buckets: int):
@@ -45,12 +47,13 @@ def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
     """Append first copies and quarantined rows of the raw rows that are new since the last run.
 
     Duplicates inside a micro-batch go by an aggregate that combines before its shuffle; those of
-    earlier batches by joins with the identities already stored. A stateful
+    earlier batches by joins with the identities already stored, of which fingerprints tell the partitions
+    to read. A stateful
     ``dropDuplicates`` would send every copy of a hot identity through one task and keep its
     state on executors. A copy from an older file than the one taken before takes its place, so the
     order in which files land does not matter; the replaced identities are listed beside the rows.
     """
-    log = lake.arrivals_log(feed)
+    log, members = lake.arrivals_log(feed), lake.arrivals_members(feed)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -61,7 +64,9 @@ def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
             # Written out so that the planner knows the size of the new rows.
             rows.write.mode("overwrite").parquet(lake.staging_path(feed.name))
             rows = session.read.schema(feed.typed_schema).parquet(lake.staging_path(feed.name))
-            rows = unseen_or_older(rows, log.live(session, batch_id - 1), feed.identity)
+            known = [number for number in batches(session, log.rows_path) if number < batch_id]
+            seen = earlier_copies(rows, members, log.live(session, batch_id - 1), known)
+            rows = unseen_or_older(rows, seen, feed.identity)
             rows.write.mode("overwrite").parquet(lake.staging_path(f"{feed.name}_taken"))
             rows = session.read.schema(rows.schema).parquet(lake.staging_path(f"{feed.name}_taken"))
             replaced = rows.where("_former IS NOT NULL")
@@ -78,10 +83,11 @@ def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
             parts.append(DAY)
             rows = rows.withColumn(DAY, activity_date(F.col("event_timestamp")))
         log.append(rows, replaced, batch_id, parts)
+        written = session.read.schema(lake.arrivals_schema(feed)).parquet(
+            f"{lake.arrivals_path(feed)}/batch={batch_id}"
+        )
+        members.record(written, batch_id)
         if feed.name == ENGAGEMENT_EVENTS.name:
-            written = session.read.schema(lake.arrivals_schema(feed)).parquet(
-                f"{lake.arrivals_path(feed)}/batch={batch_id}"
-            )
             days = written.where("accepted").select(*EVENT_DAY_COLUMNS).distinct()
             days.write.mode("overwrite").parquet(f"{lake.event_days_path}/batch={batch_id}")
         quarantine(raw, feed).hint("rebalance").write.mode("overwrite").parquet(

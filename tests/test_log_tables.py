@@ -14,9 +14,11 @@ from lamina.operators.star import FACT_MEASURES, fact_difference, fact_engagemen
 from lamina.operators.timeline import attach_effective, time_cuts
 from lamina.plans import publish
 from lamina.plans.batch import BatchTables
-from lamina.plans.refresh import FULL, INCREMENTAL, Settings, refresh
+from lamina.plans.refresh import FULL, INCREMENTAL, Settings, new_lake, refresh, take_in
+from lamina.sources.lake import DAY
 from lamina.sources.landing import set_modified
 from lamina.sources.log_table import LogTable
+from lamina.sources.members import Members, earlier_copies
 
 ROWS = "k string, v int"
 
@@ -116,7 +118,7 @@ def test_old_publications_are_removed_and_the_last_two_stay(spark, tmp_path):
     for number in range(5):
         land(spark, settings, CLIENT_PROFILES, number, [{**PROFILE, "operation_timestamp": iso(number * 100)}])
         land(spark, settings, CAMPAIGNS, number, [{**CAMPAIGN, "campaign_id": f"CMP-{number:04d}"}])
-        lake = refresh(spark, settings)
+        take_in(spark, lake, settings)
         seen.append(lake.last_publication(spark))
         assert lake.published(spark, "dim_client").count() == lake.published(spark, "dim_campaign").count() == number + 1
     assert seen[-1].dim_client_base > 0 and seen[-1].history_base > 0
@@ -218,3 +220,71 @@ def test_each_side_is_scanned_once(spark, tmp_path):
     assert plan.count("ReadSchema: struct<client:string,t:timestamp,id:int>") == 1
     assert plan.count(f"ReadSchema: struct<client:string,{START}:timestamp,{END}:timestamp>") == 1
     assert "Union" in plan and plan.count("Union") == 1
+
+
+def spoil(folder):
+    """Files that cannot be read any more."""
+    spoilt = [p for p in folder.rglob("*.parquet")]
+    for path in spoilt:
+        path.write_bytes(b"no parquet")
+    for path in folder.rglob(".*.crc"):
+        path.write_bytes(b"")
+    return len(spoilt)
+
+
+def test_only_files_that_may_hold_a_new_identity_are_read(spark, tmp_path):
+    settings = Settings(f"{tmp_path}/landing", f"{tmp_path}/lake", buckets=8)
+    lake = new_lake(spark, settings)
+    for number in range(4):
+        days = [{**EVENT, "event_id": f"EVT-{10 * number + k:08d}", "event_timestamp": iso(86400 * (5 * number + k))} for k in range(5)]
+        nothing = {**EVENT, "event_id": f"EVT-{10 * number + 9:08d}", "event_timestamp": "never"}
+        land(spark, settings, ENGAGEMENT_EVENTS, number, [*days, nothing])
+        land(spark, settings, CAMPAIGNS, number, [{**CAMPAIGN, "campaign_id": f"CMP-{number:04d}"}])
+        take_in(spark, lake, settings)
+    events = lake.arrivals(spark, ENGAGEMENT_EVENTS)
+    assert events.count() == 24
+    # One repeat from batch 1, one without a day from batch 2, and an identity never seen.
+    again = ["EVT-00000012", "EVT-00000029", "EVT-99999999"]
+    rows = events.limit(1).drop("event_id").crossJoin(spark.createDataFrame([(i,) for i in again], "event_id string"))
+    rows = rows.select(lake.arrivals(spark, ENGAGEMENT_EVENTS).columns)
+    index = lake.arrivals_members(ENGAGEMENT_EVENTS)
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    pruned = earlier_copies(rows, index, events, range(4))
+    assert sorted(r.event_id for r in pruned.collect()) == again[:2]
+    kept = [p for p in (tmp_path / "lake").rglob("batch=*") if p.parent.name == "engagement_events_arrivals"]
+    for folder in kept:
+        for day in folder.rglob(f"{DAY}=*"):
+            if (folder.name, day.name) not in {("batch=1", f"{DAY}=2024-01-08"), ("batch=2", f"{DAY}=__HIVE_DEFAULT_PARTITION__")}:
+                assert spoil(day)
+    assert sorted(r.event_id for r in pruned.collect()) == again[:2]
+    # Without partitions below the batch, batches are skipped.
+    campaigns = lake.arrivals(spark, CAMPAIGNS)
+    row = spark.createDataFrame(campaigns.where("campaign_id = 'CMP-0002'").collect(), campaigns.schema)
+    found = earlier_copies(row, lake.arrivals_members(CAMPAIGNS), campaigns, range(4))
+    assert [(r.campaign_id, r.batch) for r in found.collect()] == [("CMP-0002", 2)]
+
+
+def test_batches_without_an_index_are_read_whole(spark, tmp_path):
+    table = spark.createDataFrame([("a", 1, 0), (None, 2, 0), ("c", None, 1)], "k string, p int, batch long")
+    index = Members(f"{tmp_path}/members", ("k",), table.schema["p"])
+    new = frame(spark, [("z", 0)])
+    assert earlier_copies(new, index, table, [0, 1]).count() == 3
+    index.record(table.where("batch = 0"), 0)
+    assert [r.k for r in earlier_copies(new, index, table, [0, 1]).collect()] == ["c"]
+    index.record(table.where("batch = 1"), 1)
+    assert earlier_copies(new, index, table, [0, 1]).count() == 0
+    assert [r.p for r in earlier_copies(frame(spark, [(None, 0)]), index, table, [0, 1]).collect()] == [2]
+    assert [r.k for r in earlier_copies(frame(spark, [("c", 0)]), index, table, [0, 1]).collect()] == ["c"]
+    assert earlier_copies(frame(spark, [("c", 0)]), index, table, [0]).count() == 0
+    assert earlier_copies(frame(spark, []), index, table, [0, 1]).count() == 0
+
+
+def test_too_many_partitions_are_named_by_batch(spark, tmp_path, monkeypatch):
+    table = spark.createDataFrame([(str(k), k, k // 10) for k in range(30)], "k string, p int, batch long")
+    index = Members(f"{tmp_path}/members", ("k",), table.schema["p"])
+    for number in range(3):
+        index.record(table.where(f"batch = {number}"), number)
+    new = frame(spark, [(str(k), 0) for k in (3, 4, 25)])
+    assert sorted(r.p for r in earlier_copies(new, index, table, range(3)).collect()) == [3, 4, 25]
+    monkeypatch.setattr("lamina.sources.members.MOST_PLACES", 2)
+    assert sorted(r.p for r in earlier_copies(new, index, table, range(3)).collect()) == [*range(10), *range(20, 30)]
