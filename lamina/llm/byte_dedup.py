@@ -25,6 +25,8 @@ from lamina.llm.suffix_arrays import Segmented, common_prefixes, suffix_array
 LENGTH, GRAM = 50, 20
 #: Bytes of segments sorted at once. A larger shard is cut by anchor, so its memory is that of a part.
 SORTED_BYTES = 1 << 20
+#: Room for any place in a block; an Arrow array of texts holds less than 2**31 bytes.
+PLACE_BITS = U64(32)
 
 
 def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
@@ -34,8 +36,9 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     count = len(data) - length + 1
     if count <= 0:
         return (np.zeros(0, np.int64),) * 3 + (hashes,)
-    # The place in the low bits settles ties to the left, alike in all copies of a string.
-    bits = U64(max(1, int(len(hashes)).bit_length()))
+    # The place in the low bits settles ties to the left. Its width is fixed: were it that of the block, copies
+    # of a string in a short and a long block could be given different anchors and never meet.
+    bits = PLACE_BITS
     low = ((hashes >> bits) << bits) | np.arange(len(hashes), dtype=U64)
     width = 1
     while 2 * width <= span:

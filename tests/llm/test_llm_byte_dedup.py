@@ -6,6 +6,8 @@ import random
 import numpy as np
 from llm_helpers import docs_of, rows_of
 
+from lamina.llm import byte_dedup
+from lamina.llm.blocks import U64, Rolling
 from lamina.llm.byte_dedup import without_repeats
 from lamina.llm.suffix_arrays import Segmented, common_prefixes, suffix_array
 
@@ -67,3 +69,37 @@ def test_equal_to_direct_search(spark):
     assert got == brute(pairs) and len(rows) == len(got)
     assert all(hashlib.sha256(bytes(r["kept"])).hexdigest() == r["kept_sha256"] for r in rows)
     assert without_repeats(docs_of(spark, [])).collect() == []
+
+
+def test_anchor_does_not_depend_on_the_block(monkeypatch):
+    """Grams that agree in all but their lowest bits, as may happen by chance, in blocks of two lengths."""
+    real = Rolling.windows
+
+    def alike(self, length):
+        return (real(self, length) % U64(1 << 20)) | (U64(5) << U64(40))
+
+    monkeypatch.setattr(Rolling, "windows", alike)
+    picked = np.random.default_rng(3)
+    string = picked.integers(97, 123, 50, dtype=np.uint8)
+    places = set()
+    for before in (0, 50_000, 4 << 20):
+        data = np.concatenate((picked.integers(97, 123, before, dtype=np.uint8), string))
+        anchor, first, last, _ = byte_dedup._anchors(data, np.array([0, len(data)]), 50, 20)
+        of = np.flatnonzero((first <= before) & (before <= last))
+        places.add(int(anchor[of[0]]) - before)
+    assert len(places) == 1
+
+
+def test_copies_between_a_short_and_a_very_long_text(spark):
+    picked = random.Random(5)
+    new = lambda n: "".join(picked.choices("abcdefghijklmnop ", k=n))
+    short = new(50_000)
+    parts = []
+    for _ in range(400):
+        at = picked.randrange(len(short) - 60)
+        parts += [new(10_400), short[at : at + picked.randint(45, 60)]]
+    pairs = [(1, short), (2, "".join(parts)), (3, new(50_000) + parts[-1] + parts[200])]
+    assert len(pairs[1][1]) > 4_000_000
+    rows = rows_of(without_repeats(docs_of(spark, pairs)))
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows}
+    assert got == brute(pairs)
