@@ -170,6 +170,12 @@ def conservation(
 
     Suppressed are the rows that pass the rules but are not the first copy of their identity.
     """
+    counts = row_counts({"clean": clean_rows, "quarantined": quarantined})
+    return balanced(raw_and_suppressed(raw, feed), counts, feed)
+
+
+def raw_and_suppressed(raw: DataFrame, feed: Feed) -> DataFrame:
+    """(raw_rows, suppressed_rows) from one scan of the raw rows."""
     copies = candidates(raw, feed)
     copies = copies.withColumns(
         {"_good": feed.rules.accepted(), "_tie": F.xxhash64(*(c for c in copies.columns if c not in SYSTEM))}
@@ -180,13 +186,17 @@ def conservation(
         F.count_if("_good").alias("_good_rows"),
         F.min(F.struct(*order, "_tie", "_good")).getField("_good").alias("_first_good"),
     )
-    from_raw = per_identity.agg(
+    return per_identity.agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("raw_rows"),
         F.coalesce(
             F.sum(F.col("_good_rows") - F.col("_first_good").cast("int")), F.lit(0)
         ).alias("suppressed_rows"),
     )
-    published = row_counts({"clean": clean_rows, "quarantined": quarantined}).agg(
+
+
+def balanced(from_raw: DataFrame, counts: DataFrame, feed: Feed) -> DataFrame:
+    """The raw side against (asset, actual_rows) of the assets ``clean`` and ``quarantined``."""
+    published = counts.agg(
         F.sum(F.when(F.col("asset") == "clean", F.col("actual_rows"))).alias("clean_rows"),
         F.sum(F.when(F.col("asset") == "quarantined", F.col("actual_rows"))).alias(
             "quarantined_rows"

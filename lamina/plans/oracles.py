@@ -246,7 +246,7 @@ def _rule_failures() -> str:
     )
 
 
-def _conservation() -> str:
+def _conservation(order: str = "_source_modified") -> str:
     parts = []
     for name, feed in FEED_OF.items():
         total = f"(SELECT count(*) FROM {name}_raw)"
@@ -254,16 +254,16 @@ def _conservation() -> str:
         bad = f"(SELECT count(*) FROM {name}_bad)"
         parts.append(
             f"SELECT '{feed.name}' AS feed, {total} AS raw_rows, {kept} AS clean_rows,"
-            f" {bad} AS quarantined_rows, {_suppressed(name)} AS suppressed_rows"
+            f" {bad} AS quarantined_rows, {_suppressed(name, order)} AS suppressed_rows"
         )
     return _balanced(" UNION ALL ".join(parts))
 
 
-def _suppressed(name: str) -> str:
+def _suppressed(name: str, order: str = "_source_modified") -> str:
     """Rows that pass the rules though another copy of their identity came first."""
     return (
         f"(SELECT count(*) FROM (SELECT failed_expectations, row_number() OVER (PARTITION BY"
-        f" {IDENTITIES[name]} ORDER BY _source_modified, _source_file) AS copy FROM {name}_checked) AS c"
+        f" {IDENTITIES[name]} ORDER BY {order}, _source_file) AS copy FROM {name}_checked) AS c"
         " WHERE copy > 1 AND failed_expectations = '')"
     )
 
@@ -500,6 +500,10 @@ CATALOG = {
 }
 
 
+#: Tables derived from others in full, or by sums, which keep no tally.
+UNTALLIED = ("client_profile_history", "dim_campaign", "fact_engagement_daily")
+
+
 def _finals_of_late_files() -> dict[str, str]:
     """Results when the files that land last are the oldest: of several copies the one sent last wins."""
     told = " UNION ALL ".join(
@@ -519,6 +523,12 @@ def _finals_of_late_files() -> dict[str, str]:
         "fact_engagement_daily_late_files": "SELECT * FROM fact",
         "dim_client_late_files": _finals()["dim_client"],
         "late_files_agreement": agreement,
+        "tallied_agreement": agreement,
+        "tallied_counts": " UNION ALL ".join(
+            f"SELECT '{name}' AS asset, (SELECT count(*) FROM {source}) AS actual_rows"
+            for name, (_, _, source) in CATALOG.items() if name not in UNTALLIED
+        ),
+        "tallied_conservation": _conservation("_source_modified DESC"),
         "stored_table_contract": _contract(),
         "catalog_tables": told,
     }

@@ -21,6 +21,7 @@ from lamina.operators.star import dim_campaign, dim_client, fact_difference, fac
 from lamina.sources.lake import DAY, EVENT_DAY_COLUMNS, FACT, PUBLICATIONS, Lake, Publication
 from lamina.sources.log_table import NO_BASE
 from lamina.sources.tables import PUBLISHED, batches, last_batch, remove
+from lamina.sources.tallies import TERM, part_of, row_term
 
 
 def publish(spark: SparkSession, lake: Lake, heavy_min_rows: int = MIN_ROWS) -> Publication:
@@ -60,15 +61,18 @@ def _publish_clients(spark: SparkSession, lake: Lake, before: Publication | None
     new = history.live(spark, now.history, now.history_base)
     if before is None:
         log.append(dim_client(new.drop("batch")), None, now.publication)
+        _tally_clients(spark, lake, now.publication)
         return {}
     if now.history > before.history:
         touched = history.rebuilt(spark, before.history, now.history).select(*PROFILE_KEYS).distinct()
         old = history.live(spark, before.history, before.history_base)
         old, new = (df.join(touched, list(PROFILE_KEYS), "left_semi").drop("batch") for df in (old, new))
-        log.append(dim_client(new), dim_client(old), now.publication)
+        gone = dim_client(old)
+        log.append(dim_client(new), gone.withColumn(TERM, row_term(gone.columns)), now.publication)
     else:
         empty = dim_client(new.drop("batch")).limit(0)
-        log.append(empty, empty, now.publication)
+        log.append(empty, empty.withColumn(TERM, row_term(empty.columns)), now.publication)
+    _tally_clients(spark, lake, now.publication)
     bases = {}
     if history.is_long(spark, now.history, now.history_base):
         history.write_base(history.live(spark, now.history, now.history_base), now.history)
@@ -79,6 +83,13 @@ def _publish_clients(spark: SparkSession, lake: Lake, before: Publication | None
     return bases
 
 
+def _tally_clients(spark: SparkSession, lake: Lake, publication: int) -> None:
+    """Versions written minus versions that gave way, both as this publication has stored them."""
+    log, tallies = lake.dim_client_log(spark), lake.dim_client_tallies(spark)
+    gone = log.rebuilt(spark, publication - 1, publication).select(part_of(tallies.part), TERM)
+    tallies.record(publication, tallies.terms(log.log(spark, publication - 1, publication)), gone)
+
+
 def _publish_campaigns(spark: SparkSession, lake: Lake, before: Publication | None, now: Publication, _min_rows: int) -> dict:
     if before and before.campaigns == now.campaigns:
         return {}

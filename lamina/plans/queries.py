@@ -27,6 +27,7 @@ from lamina.operators.dedup import distinct_keys
 from lamina.operators.history import END, START, overlapping_versions, profile_history, type2_history
 from lamina.operators.quality import candidates, clean, quarantine
 from lamina.operators.star import effective_events, fact_engagement_daily, known_campaign_events
+from lamina.plans.agreement import agreement, counted, feed_balance, tallied_tables
 from lamina.plans.batch import BatchTables
 from lamina.plans.bindings import (
     CAMPAIGNS,
@@ -371,6 +372,22 @@ def late_files_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, compared)
 
 
+def tallied_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two lakes by their tallies; rows are read only of parts that differ, and of three untallied tables."""
+    return agreement(spark, *late_lakes(spark, sf_dir))
+
+
+def tallied_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of the stored tables that have a tally, without reading one of them."""
+    return counted(tallied_tables(spark, late_lakes(spark, sf_dir)[0]))
+
+
+def tallied_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored feeds balanced with one scan of each raw table."""
+    lake = late_lakes(spark, sf_dir)[0]
+    return reduce(DataFrame.unionByName, [feed_balance(spark, lake, feed) for feed in FEEDS])
+
+
 def stored_table_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract on the stored tables of a lake that was refreshed twice."""
     tables = late_lakes(spark, sf_dir)[0].tables(spark)
@@ -508,6 +525,9 @@ def _registered() -> dict[str, Query]:
         "fact_engagement_daily_late_files": fact_late_files,
         "dim_client_late_files": dim_client_late_files,
         "late_files_agreement": late_files_agreement,
+        "tallied_agreement": tallied_agreement,
+        "tallied_counts": tallied_counts,
+        "tallied_conservation": tallied_conservation,
         "stored_table_contract": stored_table_contract,
         "catalog_tables": catalog_tables,
     }

@@ -15,6 +15,7 @@ from lamina.operators.star import FACT_GROUP, FACT_TYPES, dim_client, merged_fac
 from lamina.sources.log_table import NO_BASE, LogTable
 from lamina.sources.members import Members
 from lamina.sources.tables import CLEAN, PUBLISHED, RAW, read_or_empty
+from lamina.sources.tallies import TERM, Tallies
 
 PROFILE_BUCKETS = 256
 FACT = "fact_engagement_daily"
@@ -119,9 +120,28 @@ class Lake:
         return LogTable(self.path(CLEAN, "client_profile_history"), types, PROFILE_KEYS)
 
     def dim_client_log(self, spark: SparkSession) -> LogTable:
-        """Published versions; a batch is a publication and rebuilds the keys that ended or changed."""
+        """Published versions; a batch is a publication and rebuilds the keys that ended or changed.
+
+        Beside a key stands the hash of the version that gave way, for the tally.
+        """
         types = dim_client(spark.createDataFrame([], self.history_log.schema)).schema
-        return LogTable(self.path(PUBLISHED, "dim_client"), types, ("client_key",))
+        return LogTable(self.path(PUBLISHED, "dim_client"), types, ("client_key",), ((TERM, "long"),))
+
+    def raw_tallies(self, feed: Feed) -> Tallies:
+        return Tallies(self.path(RAW, f"{feed.name}_tallies"), tuple(feed.raw_schema.names))
+
+    def clean_tallies(self, feed: Feed) -> Tallies:
+        """Accepted rows that count, by bucket or day."""
+        place = self.arrivals_members(feed).place
+        names = tuple(feed.typed_schema.names)
+        return Tallies(self.path(CLEAN, f"{feed.name}_tallies"), names, place.name if place else None)
+
+    def quarantine_tallies(self, spark: SparkSession, feed: Feed) -> Tallies:
+        return Tallies(self.path(CLEAN, f"{feed.quarantine_table}_tallies"), tuple(self.quarantined(spark, feed).columns))
+
+    def dim_client_tallies(self, spark: SparkSession) -> Tallies:
+        names = tuple(self.dim_client_log(spark).schema.names)
+        return Tallies(self.path(PUBLISHED, "dim_client_tallies"), names)
 
     @property
     def fact_log(self) -> LogTable:

@@ -29,7 +29,7 @@ def start_ingest(
         paths = [row.path for row in batch.collect()]
         if paths:
             raw = read_landed(batch.sparkSession, paths, feed)
-            raw.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+            lake.raw_tallies(feed).write_observed(raw, f"{target}/batch={batch_id}", batch_id)
 
     return (
         landed_paths(spark, folder, max_files)
