@@ -49,7 +49,7 @@ def tallied_tables(spark: SparkSession, lake: Lake) -> dict[str, Tallied]:
         bad = tuple(batches(spark, lake.quarantine_path(feed)))
         found[feed.raw_table] = Tallied(lake.raw_tallies(feed), lake.raw(spark, feed), raw)
         found[feed.clean_table] = Tallied(lake.clean_tallies(feed), lake.arrivals(spark, feed).where("accepted"), clean)
-        found[feed.quarantine_table] = Tallied(lake.quarantine_tallies(spark, feed), lake.quarantined(spark, feed), bad)
+        found[feed.quarantine_table] = Tallied(lake.quarantine_tallies(feed), lake.quarantined(spark, feed), bad)
     at = lake.last_publication(spark)
     if at:
         # A later publication may have been begun; the pointer tells which one counts.

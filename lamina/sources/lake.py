@@ -136,8 +136,9 @@ class Lake:
         names = tuple(feed.typed_schema.names)
         return Tallies(self.path(CLEAN, f"{feed.name}_tallies"), names, place.name if place else None)
 
-    def quarantine_tallies(self, spark: SparkSession, feed: Feed) -> Tallies:
-        return Tallies(self.path(CLEAN, f"{feed.quarantine_table}_tallies"), tuple(self.quarantined(spark, feed).columns))
+    def quarantine_tallies(self, feed: Feed) -> Tallies:
+        names = (*feed.quarantine_columns, "failed_expectations", "raw_payload")
+        return Tallies(self.path(CLEAN, f"{feed.quarantine_table}_tallies"), names)
 
     def dim_client_tallies(self, spark: SparkSession) -> Tallies:
         names = tuple(self.dim_client_log(spark).schema.names)

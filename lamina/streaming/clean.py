@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from operator import and_
 
@@ -92,14 +93,24 @@ def start_clean(spark: SparkSession, feed: Feed, lake: Lake) -> StreamingQuery:
         written = session.read.schema(lake.arrivals_schema(feed)).parquet(
             f"{lake.arrivals_path(feed)}/batch={batch_id}"
         )
-        members.record(written, batch_id)
-        tallies.record(batch_id, tallies.terms(written.where("accepted")), given_up)
+        steps = [
+            lambda: members.record(written, batch_id),
+            lambda: tallies.record(batch_id, tallies.terms(written.where("accepted")), given_up),
+            lambda: write_rejected(raw, batch_id),
+        ]
         if feed.name == ENGAGEMENT_EVENTS.name:
             days = written.where("accepted").select(*EVENT_DAY_COLUMNS).distinct()
-            days.write.mode("overwrite").parquet(f"{lake.event_days_path}/batch={batch_id}")
+            steps.append(lambda: days.write.mode("overwrite").parquet(f"{lake.event_days_path}/batch={batch_id}"))
+        # Independent of each other; every one overwrites its own folder, so a repeated batch repairs a failed one.
+        with ThreadPoolExecutor(len(steps)) as pool:
+            for done in [pool.submit(step) for step in steps]:
+                done.result()
+
+    def write_rejected(raw: DataFrame, batch_id: int) -> None:
+        session = raw.sparkSession
         rejected, folder = quarantine(raw, feed), f"{lake.quarantine_path(feed)}/batch={batch_id}"
         rejected.hint("rebalance").write.mode("overwrite").parquet(folder)
-        bad = lake.quarantine_tallies(session, feed)
+        bad = lake.quarantine_tallies(feed)
         bad.record(batch_id, bad.terms(session.read.schema(rejected.schema).parquet(folder)))
 
     return (
