@@ -328,16 +328,17 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: Hours by which the files of a wave are older than those of the first ones, though they land later.
 AGED = {2: 1, 3: 2}
-_LATE: dict[tuple[str, str], tuple[Lake, Lake]] = {}
+_GROWN: dict[tuple[str, str], tuple[Settings, Lake]] = {}
+_WHOLE: dict[tuple[str, str], Lake] = {}
 
 
-def late_lakes(spark: SparkSession, sf_dir: str) -> tuple[Lake, Lake]:
-    """Lakes grown step by step and built at once, of the same files, once per application.
+def grown_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake grown step by step, once per application.
 
     The files that land last are the oldest, so repeats replace the copies that were taken in before.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LATE:
+    if key not in _GROWN:
         settings = _home(spark)
         now = int(time.time() * 1000)
         for waves in (FIRST_WAVES, LATER_WAVES):
@@ -349,16 +350,24 @@ def late_lakes(spark: SparkSession, sf_dir: str) -> tuple[Lake, Lake]:
                         if exists(spark, folder):
                             set_modified(spark, folder, now - 3_600_000 * AGED.get(wave, 0))
             grown = refresh(spark, settings, INCREMENTAL)
-        _LATE[key] = (grown, refresh(spark, settings, FULL))
-    return _LATE[key]
+        _GROWN[key] = settings, grown
+    return _GROWN[key][1]
+
+
+def late_lakes(spark: SparkSession, sf_dir: str) -> tuple[Lake, Lake]:
+    """The lake grown step by step and one built at once of the same files, for queries that compare the two."""
+    key, grown = (spark.sparkContext.applicationId, sf_dir), grown_lake(spark, sf_dir)
+    if key not in _WHOLE:
+        _WHOLE[key] = refresh(spark, _GROWN[key][0], FULL)
+    return grown, _WHOLE[key]
 
 
 def fact_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return late_lakes(spark, sf_dir)[0].published(spark, "fact_engagement_daily")
+    return grown_lake(spark, sf_dir).published(spark, "fact_engagement_daily")
 
 
 def dim_client_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return late_lakes(spark, sf_dir)[0].published(spark, "dim_client")
+    return grown_lake(spark, sf_dir).published(spark, "dim_client")
 
 
 def late_files_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -379,18 +388,18 @@ def tallied_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tallied_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the stored tables that have a tally, without reading one of them."""
-    return counted(tallied_tables(spark, late_lakes(spark, sf_dir)[0]))
+    return counted(tallied_tables(spark, grown_lake(spark, sf_dir)))
 
 
 def tallied_conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored feeds balanced with one scan of each raw table."""
-    lake = late_lakes(spark, sf_dir)[0]
+    lake = grown_lake(spark, sf_dir)
     return reduce(DataFrame.unionByName, [feed_balance(spark, lake, feed) for feed in FEEDS])
 
 
 def stored_table_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract on the stored tables of a lake that was refreshed twice."""
-    tables = late_lakes(spark, sf_dir)[0].tables(spark)
+    tables = grown_lake(spark, sf_dir).tables(spark)
     counted = {name: tables[name] for name in _counted(batch(spark, sf_dir))}
     floors = {name: 1 for name in counted if not name.endswith("_raw")}
     return check_counts(counted, deliveries(spark, sf_dir), floors)
@@ -398,7 +407,7 @@ def stored_table_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names given by the session's configuration: what the catalog says of each table, and its rows."""
-    lake = late_lakes(spark, sf_dir)[0]
+    lake = grown_lake(spark, sf_dir)
     unique = uuid.uuid4().hex
     layers = ("bronze", "silver", "gold")
     for layer in layers:
