@@ -9,9 +9,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Sizes are estimated from compressed files, rows in memory take many times that. All broadcasts pass through the driver.
+BROADCAST, BROADCAST_MOST = "spark.sql.autoBroadcastJoinThreshold", "2m"
+
+
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Version keys and activity dates depend on the time zone, so it is always UTC."""
+    """Version keys and activity dates depend on the time zone, so it is always UTC.
+
+    Joins broadcast sides of up to BROADCAST_MOST, unless the session has a limit of its own.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if BROADCAST not in spark.conf.getAll:
+        spark.conf.set(BROADCAST, BROADCAST_MOST)
     return spark
 
 

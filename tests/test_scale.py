@@ -2,6 +2,7 @@
 
 from lamina.plans import queries
 from lamina.plans.refresh import FULL, INCREMENTAL
+from lamina.session import BROADCAST, BROADCAST_MOST, pin_session
 
 
 def test_only_comparisons_build_the_second_lake(spark, tmp_path, monkeypatch):
@@ -13,3 +14,20 @@ def test_only_comparisons_build_the_second_lake(spark, tmp_path, monkeypatch):
     assert modes == [INCREMENTAL, INCREMENTAL]
     assert queries.late_lakes(spark, source) == queries.late_lakes(spark, source) == ("lake 2", "lake 3")
     assert modes == [INCREMENTAL, INCREMENTAL, FULL]
+
+
+def test_a_session_broadcasts_little_unless_it_says_so(spark):
+    fresh = pin_session(spark.newSession())
+    assert fresh.conf.get(BROADCAST) == BROADCAST_MOST
+    fresh.conf.set(BROADCAST, "7m")
+    assert pin_session(fresh).conf.get(BROADCAST) == "7m"
+
+
+def test_a_side_of_many_compressed_rows_is_not_broadcast(spark, tmp_path):
+    session = pin_session(spark.newSession())
+    rows = session.range(600_000).selectExpr("id", "uuid() AS name")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/rows")
+    stored = session.read.parquet(f"{tmp_path}/rows")
+    # Several MB by the estimate: within Spark's own limit, beyond this one.
+    plan = stored.join(stored.select("id"), "id", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
