@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lamina.feeds import CLIENT_ID_PATTERN, Feed
 from lamina.operators.dedup import ARRIVAL, SYSTEM
@@ -257,13 +258,21 @@ def differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """(left_rows, right_rows, only_left, only_right) counting copies, in one shuffle.
 
     Groups equal rows and compares how often each side has them; both sides aggregate before the
-    shuffle.
+    shuffle. Plain columns are grouped by a 128-bit hash, so wide rows are neither held by the aggregate
+    nor sent: rows that agree in it are taken as equal. Nested columns are grouped as they are, as a hash passes
+    over the NULLs inside.
     """
     columns = left.columns
     sides = left.select(*columns, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
         right.select(*columns, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
     )
-    per_row = sides.groupBy(*columns).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+    # Hashed after the union, which gives both sides the same types.
+    nested = [f.name for f in sides.schema if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType, T.VariantType))]
+    plain = [name for name in columns if name not in nested]
+    flags = [F.isnull(name) for name in plain]
+    halves = [F.xxhash64(F.lit(salt), *plain, *flags).alias(f"_hash_{salt}") for salt in (0, 1)]
+    hashed = sides.select(*halves, *nested, "_l", "_r")
+    per_row = hashed.groupBy("_hash_0", "_hash_1", *nested).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
     surplus = F.col("_l") - F.col("_r")
     return per_row.agg(
         F.coalesce(F.sum("_l"), F.lit(0)).alias("left_rows"),

@@ -1,5 +1,8 @@
 """What bounds the work and the traffic of refreshes and comparisons on large tables."""
 
+import re
+
+from lamina.operators.contract import differences
 from lamina.plans import queries
 from lamina.plans.refresh import FULL, INCREMENTAL
 from lamina.session import BROADCAST, BROADCAST_MOST, pin_session
@@ -31,3 +34,19 @@ def test_a_side_of_many_compressed_rows_is_not_broadcast(spark, tmp_path):
     # Several MB by the estimate: within Spark's own limit, beyond this one.
     plan = stored.join(stored.select("id"), "id", "left_semi")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_comparison_sends_hashes_and_counts_copies_nulls_and_nested_values(spark):
+    schema = "a string, b string, c array<string>, d int"
+    left = spark.createDataFrame(
+        [("x", None, None, 1), (None, "x", None, 1), ("y", "y", ["p", None], 2), ("y", "y", ["p"], 2), ("z", "z", [], 3), ("z", "z", [], 3)], schema
+    )
+    right = spark.createDataFrame(
+        [("x", None, None, 1), ("x", None, None, 1), ("y", "y", ["p", None], 2), ("z", "z", [], 3), (None, None, None, None)], schema
+    )
+    # The other side has d as long: equal after the union of both.
+    found = differences(left, right.withColumn("d", right["d"].cast("long")))
+    assert [tuple(row) for row in found.collect()] == [(6, 5, 3, 2)]
+    plan = differences(left.drop("c"), right.drop("c"))._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert len(keys) == 1 and all(name.strip().startswith("_hash_") for name in keys[0].split(",")[:2]), plan
