@@ -14,7 +14,7 @@ import heapq
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +24,11 @@ from pyspark.sql import DataFrame
 from lamina.llm.blocks import blocks
 
 NO_RANK = np.iinfo(np.int32).max
-#: Distinct pieces a task remembers before it starts anew; the setting has no influence on results.
-REMEMBERED = 300_000
+#: Distinct stretches, and token ids of them, that a task remembers before it starts anew; the settings have no
+#: influence on results. The second bounds memory where stretches are long.
+REMEMBERED, REMEMBERED_IDS = 300_000, 1 << 21
 #: Bytes of text whose pieces are replayed together.
-REPLAY_BYTES = 1 << 23
+REPLAY_BYTES = 1 << 21
 
 
 class Vocabulary:
@@ -188,24 +189,27 @@ class Encoder:
         self.opens, self.closes = np.zeros(0, bool), np.zeros(0, bool)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.spaced) + len(self.bare) > REMEMBERED:
+        if len(self.spaced) + len(self.bare) > REMEMBERED or len(self.ids) > REMEMBERED_IDS:
             self.forget()
-        cut = [text.split(" ") for text in texts]
-        coded = [np.fromiter(map(self.spaced.__getitem__, p[1:]), np.int64, len(p) - 1) for p in cut]
+        # Only one text at a time is held in parts, which take ten times its room; of the others, codes.
+        coded = []
+        for text in texts:
+            parts = text.split(" ")
+            coded.append(np.fromiter(map(self.spaced.__getitem__, islice(parts, 1, None)), np.int32, len(parts) - 1))
         new = list(self.spaced)[len(self.opens) :]
         self.opens = np.concatenate((self.opens, [bool(p) and not p[0].isspace() for p in new])).astype(bool)
         self.closes = np.concatenate((self.closes, [bool(p) and not p[-1].isspace() for p in new])).astype(bool)
         heads = []
-        for k, parts in enumerate(cut):
-            codes = coded[k]
+        for text, codes in zip(texts, coded, strict=True):
+            first = text[: text.find(" ")] if len(codes) else text
             fine = self.opens[codes]
             fine[1:] &= self.closes[codes[:-1]]
             if len(fine):
-                fine[0] &= bool(parts[0]) and not parts[0][-1].isspace() or parts[0] == ""
+                fine[0] &= not first[-1:].isspace()
             if fine.all():
-                heads.append((self.bare[parts[0]], None))
+                heads.append((self.bare[first], None))
             else:
-                heads.append(self._glued(parts, codes, fine))
+                heads.append(self._glued(text.split(" "), codes, fine))
         self._learn()
         return [
             self._gather(codes, head, names) for codes, (head, names) in zip(coded, heads, strict=True)

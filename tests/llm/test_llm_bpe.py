@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -64,3 +65,24 @@ def test_documents_and_digests(spark, library):
 
 def test_empty_table(spark):
     assert digests(docs_of(spark, []), PATH, PATTERN).collect() == []
+
+
+def test_words_of_a_block_are_not_held_at_once():
+    encoder = Encoder(PATH, PATTERN)
+    texts = [f"{k} " + "word after word " * 2_000 for k in range(60)]
+    tracemalloc.start()
+    encoder.encode(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 6 * sum(map(len, texts))
+
+
+def test_long_stretches_are_forgotten_too(library):
+    encoder = Encoder(PATH, PATTERN)
+    picked = random.Random(3)
+    for _ in range(6):
+        text = "".join(picked.choices("abcdefgh", k=2_000_000))
+        encoder.encode([text])
+    assert len(encoder.ids) < 3_000_000
+    short = text[:1000]
+    assert encoder.encode([short])[0].tolist() == library.encode_ordinary(short)

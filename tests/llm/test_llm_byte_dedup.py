@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 from llm_helpers import docs_of, rows_of
@@ -30,6 +31,19 @@ def test_suffix_array_equals_sorting():
             assert agree[i] == (fits and text.data[i : i + 8].tolist() == text.data[j : j + 8].tolist())
 
 
+def test_hashes_leave_no_tables_behind():
+    values = np.arange(1 << 20, dtype=U64)
+    tracemalloc.start()
+    rolling = Rolling(values)
+    found = rolling.windows(7)
+    assert np.array_equal(found, rolling.of(np.arange(len(found)), np.arange(7, len(values) + 1)))
+    assert found[5] == Rolling(values[5:12]).windows(7)[0] and len(Rolling(values[:6]).windows(7)) == 0
+    del rolling, found
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 1 << 18
+
+
 def brute(pairs, length=50):
     texts = {}
     for doc_id, text in pairs:
