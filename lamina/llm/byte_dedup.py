@@ -47,8 +47,7 @@ def _anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     low = np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
     anchor = (low[:count] & ((U64(1) << bits) - U64(1))).astype(np.int64)
     start = np.arange(count)
-    doc = np.searchsorted(offsets, start, side="right") - 1
-    inside = start + length <= offsets[doc + 1]
+    inside = start + length <= np.repeat(offsets[1:], np.diff(offsets))[:count]
     start, anchor = start[inside], anchor[inside]
     if not len(start):
         return (np.zeros(0, np.int64),) * 3 + (hashes,)

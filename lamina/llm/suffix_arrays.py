@@ -31,8 +31,8 @@ class Segmented:
         self.data[of_byte] = data
         self.symbols = self.data.astype(np.int64) + count
         self.symbols[stops] = np.arange(count - 1, -1, -1)
-        #: Bucket of first symbols: one for the separators, one per byte value.
-        self.bucket = np.where(of_byte, self.data.astype(np.int64) + 1, 0)
+        #: Bucket of first symbols: one for the separators, one per byte value. Numbers of 16 bits are sorted by radix.
+        self.bucket = np.where(of_byte, self.data.astype(np.uint16) + 1, 0).astype(np.uint16)
         self.segment = np.repeat(np.arange(count), lengths + 1)
         self.left = stops[self.segment] - np.arange(size)
 
@@ -47,44 +47,61 @@ def classified(symbols: np.ndarray) -> np.ndarray:
     return np.repeat(rising, runs)
 
 
-def _refined(rank: np.ndarray, active: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """Splits ties of the active items by ``value``; a rank is the place of a tie's first item.
+def _refined(rank: np.ndarray, active: np.ndarray, value: np.ndarray, limit: int) -> np.ndarray:
+    """Splits ties of the active items by ``value``, below ``limit``; a rank is the place of a tie's first item.
 
-    Changes ``rank`` and returns the items that are still tied.
+    Changes ``rank`` and returns the items that are still tied. The span of ranks times the limit must fit 63 bits.
     """
-    order = np.lexsort((value, rank[active]))
-    items, value, old = active[order], value[order], rank[active][order]
-    tie = np.concatenate(([True], old[1:] != old[:-1]))
-    part = tie | np.concatenate(([True], value[1:] != value[:-1]))
-    heads, tie_heads = np.flatnonzero(part), np.flatnonzero(tie)
+    key = (rank[active] - rank[active].min()) * limit + value
+    order = np.argsort(key)
+    items, key = active[order], key[order]
+    old = rank[items]
+    part = np.concatenate(([True], key[1:] != key[:-1]))
+    tie_heads = np.flatnonzero(np.concatenate(([True], old[1:] != old[:-1])))
+    heads = np.flatnonzero(part)
     size = np.diff(np.append(heads, len(items)))
-    first = tie_heads[np.cumsum(tie)[heads] - 1]
+    first = tie_heads[np.searchsorted(tie_heads, heads, side="right") - 1]
     rank[items] = np.repeat(old[heads] + heads - first, size)
     return items[np.repeat(size > 1, size)]
 
 
-def lms_order(symbols: np.ndarray, lms: np.ndarray) -> np.ndarray:
-    """The LMS suffixes in ascending order: by their substrings, then by doubling over the names."""
-    count, size = len(lms), len(symbols)
+#: Bits of a bucket, or of the value beyond all buckets.
+BUCKET_BITS = 9
+
+
+def lms_order(bucket: np.ndarray, lms: np.ndarray) -> np.ndarray:
+    """The LMS suffixes in ascending order: by their substrings, then by doubling over the names.
+
+    Separators are the smallest suffixes, later ones first, and come only at the ends of substrings; there
+    they count as equal, and the doubling tells them apart by their ranks.
+    """
+    count, size = len(lms), len(bucket)
     length = np.append(np.diff(lms) + 1, 1)
-    bits = int(symbols.max() + 2).bit_length()
-    packed, beyond = 62 // bits, (1 << bits) - 1
-    rank, active, step = np.zeros(count, np.int64), np.arange(count), 0
+    beyond = (1 << BUCKET_BITS) - 1
+    separator = bucket[lms] == 0
+    rank = np.full(count, separator.sum())
+    rank[separator] = np.arange(separator.sum())[::-1]
+    active, step = np.flatnonzero(~separator), 0
     while len(active):
+        # At first there is one rank only, so all bits are left to symbols.
+        packed = (62 - int(np.ptp(rank[active])).bit_length()) // BUCKET_BITS
         value = np.zeros(len(active), np.int64)
+        place, left = lms[active], length[active]
         for k in range(step, step + packed):
             # A substring that ends here is larger than one that goes on: L comes before S.
-            symbol = symbols[np.minimum(lms[active] + k, size - 1)]
-            value = (value << bits) | np.where(k < length[active], symbol, beyond)
-        active, step = _refined(rank, active, value), step + packed
+            symbol = bucket[np.minimum(place + k, size - 1)]
+            value = (value << BUCKET_BITS) | np.where(k < left, symbol, beyond)
+        active, step = _refined(rank, active, value, 1 << (BUCKET_BITS * packed)), step + packed
         # One step more than the substring is long, so that its end has been compared.
         active = active[step <= length[active]]
     ties = np.bincount(rank, minlength=count)[rank] > 1
     active, reach = np.flatnonzero(ties), 1
     while len(active):
-        ahead = np.where(active + reach < count, rank[np.minimum(active + reach, count - 1)], -1)
-        active, reach = _refined(rank, active, ahead), 2 * reach
-    return lms[np.argsort(rank)]
+        ahead = np.where(active + reach < count, rank[np.minimum(active + reach, count - 1)] + 1, 0)
+        active, reach = _refined(rank, active, ahead, count + 1), 2 * reach
+    order = np.empty(count, np.int64)
+    order[rank] = lms
+    return order
 
 
 def _dealt(places: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -146,7 +163,7 @@ def suffix_array(text: Segmented) -> np.ndarray:
     lms = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
     if smaller[0] and text.bucket[0] == 0:
         lms = np.concatenate(([0], lms))  # an empty first segment
-    return induced(text.bucket, smaller, lms_order(text.symbols, lms))
+    return induced(text.bucket, smaller, lms_order(text.bucket, lms))
 
 
 def common_prefixes(text: Segmented, order: np.ndarray, length: int) -> np.ndarray:

@@ -31,6 +31,29 @@ def test_suffix_array_equals_sorting():
             assert agree[i] == (fits and text.data[i : i + 8].tolist() == text.data[j : j + 8].tolist())
 
 
+def test_few_places_are_sorted_by_comparison(monkeypatch):
+    """Two per byte at most, however many segments there are; sorts of 16-bit numbers go by radix."""
+    letters = np.random.default_rng(0).choice(np.frombuffer(b"etaoin shrdlu", np.uint8), 60_000)
+    text = Segmented(np.tile(letters, 2), np.full(2_000, 60))
+    handled = []
+    argsort, lexsort = np.argsort, np.lexsort
+
+    def counted(values, **how):
+        handled.append(len(values) if values.dtype.itemsize > 2 else 0)
+        return argsort(values, **how)
+
+    def counted_keys(keys):
+        handled.extend(map(len, keys))
+        return lexsort(keys)
+
+    monkeypatch.setattr(np, "argsort", counted)
+    monkeypatch.setattr(np, "lexsort", counted_keys)
+    order = suffix_array(text)
+    monkeypatch.undo()
+    assert sum(handled) < 2 * len(text.data)
+    assert np.array_equal(np.sort(order), np.arange(len(text.data)))
+
+
 def test_hashes_leave_no_tables_behind():
     values = np.arange(1 << 20, dtype=U64)
     tracemalloc.start()
