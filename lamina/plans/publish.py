@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from lamina.feeds import CAMPAIGNS, CLIENT_PROFILES, ENGAGEMENT_EVENTS, FEEDS
 from lamina.functions.skew import MIN_ROWS, heavy_or_none
 from lamina.functions.typing import activity_date
-from lamina.operators.history import PROFILE_KEYS, PROFILE_SEQUENCE
-from lamina.operators.star import dim_campaign, dim_client, fact_difference, fact_engagement_daily
+from lamina.operators.history import END, PROFILE_KEYS, PROFILE_SEQUENCE, START
+from lamina.operators.star import EVENT_COLUMNS, dim_campaign, dim_client, fact_difference, fact_engagement_daily
 from lamina.sources.lake import DAY, EVENT_DAY_COLUMNS, FACT, PUBLICATIONS, Lake, Publication
 from lamina.sources.log_table import NO_BASE
 from lamina.sources.tables import PUBLISHED, batches, last_batch, remove
@@ -104,16 +104,8 @@ def _publish_fact(spark: SparkSession, lake: Lake, before: Publication | None, n
     if before is None:
         log.append(_fact(spark, lake, None, min_rows, now), None, now.publication, [DAY])
         return {}
-    listed = lake.staging_path("touched_groups")
-    touched = touched_groups(spark, lake, before, now)
-    touched.write.mode("overwrite").parquet(listed)
-    touched = spark.read.schema(touched.schema).parquet(listed)
-    # Two values; as literals they prune partitions in the scans, semi joins do the rest.
-    days = touched.agg(F.min(DAY), F.max(DAY)).first()
-    sides = [
-        _events_and_history(spark, lake, touched, days, now, before.engagement_events),
-        _events_and_history(spark, lake, touched, days, before),
-    ]
+    touched = _staged(lake, "touched_groups", touched_groups(spark, lake, before, now))
+    sides = _sides(spark, lake, touched, before, now)
     # The list only steers partitioning, so that of the later state serves the earlier one as well.
     heavy = _heavy_clients(*sides[0], min_rows)
     difference = fact_difference(
@@ -155,37 +147,65 @@ def touched_groups(spark: SparkSession, lake: Lake, before: Publication, now: Pu
     return reduce(DataFrame.unionByName, [df.select(*EVENT_DAY_COLUMNS) for df in touched]).distinct()
 
 
+def _staged(lake: Lake, name: str, rows: DataFrame) -> DataFrame:
+    """Rows that are read several times, written out once, so that the planner knows their size as well."""
+    folder = lake.staging_path(name)
+    rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def _fact(
     spark: SparkSession, lake: Lake, touched: DataFrame | None, heavy_min_rows: int, at: Publication | None = None
 ) -> DataFrame:
     """The fact of a state, of the events named by ``touched`` if given."""
-    days = touched.agg(F.min(DAY), F.max(DAY)).first() if touched is not None else None
-    events, history = _events_and_history(spark, lake, touched, days, at)
+    events = lake.arrivals(spark, ENGAGEMENT_EVENTS, at.engagement_events if at else None).where("accepted")
+    history = _versions(spark, lake, at)
+    if touched is not None:
+        events = _events_of(events, touched)
+        history = history.join(events.select(*PROFILE_KEYS).distinct(), list(PROFILE_KEYS), "left_semi")
     heavy = _heavy_clients(events, history, heavy_min_rows)
     return fact_engagement_daily(events, history, lake.clean(spark, CAMPAIGNS, at.campaigns if at else None), heavy)
 
 
-def _events_and_history(
-    spark: SparkSession, lake: Lake, touched: DataFrame | None, days: tuple | None,
-    at: Publication | None = None, but_after: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Accepted events of a state that ``touched`` names, and the versions of their clients.
+def _versions(spark: SparkSession, lake: Lake, at: Publication | None) -> DataFrame:
+    """The whole history of a state."""
+    return lake.history_log.live(spark, at.history, at.history_base) if at else lake.history(spark)
 
-    ``touched`` names days, or clients and campaigns on days. Events of batches after ``but_after``
-    are taken in any case.
-    """
-    events = lake.arrivals(spark, ENGAGEMENT_EVENTS, at.engagement_events if at else None).where("accepted")
-    history = lake.history_log.live(spark, at.history, at.history_base) if at else lake.history(spark)
-    if touched is None:
-        return events, history
+
+def _events_of(events: DataFrame, touched: DataFrame) -> DataFrame:
+    """Events that ``touched`` names: by days, or by clients and campaigns on days."""
     names = [name for name in EVENT_DAY_COLUMNS if name in touched.columns]
-    older = events if but_after is None else events.where(F.col("batch") <= but_after)
-    older = older.where(F.col(DAY).between(F.lit(days[0]), F.lit(days[1])))
-    older = older.join(touched, names, "left_semi").select(events.columns)
-    fresh = [] if but_after is None else [events.where(F.col("batch") > but_after)]
-    events = reduce(DataFrame.unionByName, [older, *fresh])
-    history = history.join(events.select(*PROFILE_KEYS).distinct(), list(PROFILE_KEYS), "left_semi")
-    return events, history
+    # Two values; as literals they prune partitions in the scan, the semi join does the rest.
+    first, last = touched.agg(F.min(DAY), F.max(DAY)).first()
+    return events.where(F.col(DAY).between(F.lit(first), F.lit(last))).join(touched, names, "left_semi")
+
+
+def _sides(
+    spark: SparkSession, lake: Lake, touched: DataFrame, before: Publication, now: Publication
+) -> list[tuple[DataFrame, DataFrame]]:
+    """(events, versions) of the later and of the former state, as far as they may count differently.
+
+    Those are all events taken in since, the older ones that ``touched`` names, and the versions of the clients
+    of both. The two states differ in older events only by those given up since, so these are looked up once and
+    written out, as are the clients and the later versions; otherwise the list of heavy clients and either side
+    would work them out anew.
+    """
+    upto = before.engagement_events
+    arrivals, days = lake.arrivals_log(ENGAGEMENT_EVENTS), lake.event_days(spark)
+    older = _events_of(arrivals.live(spark, upto).where("accepted"), touched).select(*EVENT_COLUMNS)
+    older = _staged(lake, "touched_events", older)
+    given_up = arrivals.rebuilt(spark, upto, now.engagement_events).select(*arrivals.keys)
+    fresh = arrivals.live(spark, now.engagement_events).where(F.col("accepted") & (F.col("batch") > upto))
+    events = older.join(given_up, list(arrivals.keys), "left_anti").unionByName(fresh.select(*EVENT_COLUMNS))
+    # Clients of new events: the table of event days names them, so the events themselves need not be read.
+    arrived = days.where((F.col("batch") > upto) & (F.col("batch") <= now.engagement_events))
+    clients = touched.select(*PROFILE_KEYS).unionAll(arrived.select(*PROFILE_KEYS)).distinct()
+    clients = _staged(lake, "clients_of_events", clients)
+    later, former = (
+        _versions(spark, lake, at).join(clients, list(PROFILE_KEYS), "left_semi").select(*PROFILE_KEYS, START, END)
+        for at in (now, before)
+    )
+    return [(events, _staged(lake, "versions_of_events", later)), (older, former)]
 
 
 def _heavy_clients(events: DataFrame, history: DataFrame, min_rows: int) -> DataFrame | None:

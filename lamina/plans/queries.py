@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -306,6 +307,14 @@ def _home(spark: SparkSession) -> Settings:
     return Settings(landing=f"{home}/landing", root=f"{home}/lake", buckets=BUCKETS, feeds=FEEDS)
 
 
+def land_feeds(spark: SparkSession, sf_dir: str, settings: Settings, waves: range) -> None:
+    """Land all feeds side by side: a source of few row groups keeps few tasks busy."""
+    with ThreadPoolExecutor(len(FEEDS)) as pool:
+        landed = [pool.submit(land_feed, spark, sf_dir, feed, settings.folder(feed), waves) for feed in FEEDS]
+        for done in landed:
+            done.result()
+
+
 def history_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile history grown from two deliveries, the second with late and repeated changes."""
     settings = _home(spark)
@@ -320,8 +329,7 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the deliveries by a full refresh, the others by an incremental one."""
     settings = _home(spark)
     for waves, mode in ((FIRST_WAVES, FULL), (LATER_WAVES, INCREMENTAL)):
-        for feed in FEEDS:
-            land_feed(spark, sf_dir, feed, settings.folder(feed), waves)
+        land_feeds(spark, sf_dir, settings, waves)
         lake = refresh(spark, settings, mode)
     return lake.published(spark, "fact_engagement_daily")
 
@@ -342,8 +350,8 @@ def grown_lake(spark: SparkSession, sf_dir: str) -> Lake:
         settings = _home(spark)
         now = int(time.time() * 1000)
         for waves in (FIRST_WAVES, LATER_WAVES):
+            land_feeds(spark, sf_dir, settings, waves)
             for feed in FEEDS:
-                land_feed(spark, sf_dir, feed, settings.folder(feed), waves)
                 for wave in waves:
                     for shape in SHAPES:
                         folder = f"{settings.folder(feed)}/{shape}/wave={wave}"
